@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Pages are large rows: small Arrow batches keep a Python worker's memory flat.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    # A repeated key in a JSON object takes its last value instead of spoiling the document.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
 }
 
