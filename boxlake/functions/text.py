@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Every character that counts as blank: spaces of all widths, no-break spaces, line and field ends.
+_BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def strip(text) -> Column:
-    """Drop blanks at both ends; unlike ``trim`` this covers no-break spaces and line ends."""
-    return F.regexp_replace(text, _EDGE_BLANKS, "")
+    """Drop blanks at both ends; unlike plain ``trim`` this covers no-break spaces and line ends."""
+    return F.btrim(text, F.lit(_BLANKS))
 
 
 def first_non_empty(*values: Column) -> Column:

@@ -37,9 +37,13 @@ def append_ids_sorted(known: DataFrame, names: DataFrame, name: str) -> DataFram
 
 
 def crew_members(rows: DataFrame, crew: Column) -> DataFrame:
-    """One row per distinct member of an array column of names; blanks dropped."""
+    """One row per distinct member of an array column of names; blanks dropped.
+
+    Repeats go before the names are cleaned, so cleaning runs once per spelling.
+    """
     return (
         rows.select(F.explode(crew).alias("member"))
+        .distinct()
         .select(strip("member").alias("member"))
         .where("member <> ''")
         .distinct()

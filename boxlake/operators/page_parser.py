@@ -32,6 +32,9 @@ class _Reader(HTMLParser):
         self.tables, self.links, self.headings = [], [], []
         self.officials, self.crew_holder = None, None
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not reported
+
     def innermost(self, tag):
         return next((e for e in reversed(self.open) if e[0] == tag), None)
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from boxlake.fixed_values import (
     DNP,
@@ -24,6 +25,7 @@ from boxlake.leagues import League
 from boxlake.operators import page_parser
 from boxlake.operators.page_parser import PAGE, read_page
 from boxlake.schemas import BOX_SCORE, columns, struct
+from boxlake.session import spread
 
 
 # The parser travels with the job, so executors need no installed copy of this package.
@@ -37,16 +39,16 @@ _PLAYER_ROW = (
 
 def parse_pages(pages: DataFrame, keep: list[str], content: str = "content") -> DataFrame:
     """Add a ``page`` column. Pages are independent: one pass, no shuffle, small Arrow batches."""
-    given = pages.select(*keep, content)
+    given = spread(pages.select(*keep, content))
     schema = T.StructType([given.schema[c] for c in keep] + [T.StructField("page", struct(PAGE))])
+    page_type = to_arrow_schema(schema).field("page").type
 
     def read(batches):
         for batch in batches:
-            found = batch[keep].copy()
-            found["page"] = pd.Series([read_page(c) for c in batch[content]], index=batch.index, dtype=object)
-            yield found
+            found = pa.array([read_page(text.as_py()) for text in batch.column(content)], type=page_type)
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [found], [*keep, "page"])
 
-    return given.mapInPandas(read, schema)
+    return given.mapInArrow(read, schema)
 
 
 def team_name(caption: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from boxlake.fixed_values import ABSENCE_COLUMNS, UNKNOWN
 from boxlake.functions.absence import classify
 from boxlake.operators.tally import top_values, value_counts, value_shares
+from boxlake.session import spread
 from boxlake.sources.season_archive import read_season_files, reindex
 
 VOCABULARY_BYTES = 8_000_000
@@ -43,7 +44,7 @@ def with_classes(rows: DataFrame, text: str, via_distinct: bool = False) -> Data
                 F.broadcast(known), "_text"
             )
             return _split_class(joined.drop("_text"))
-    return _split_class(rows.withColumn("_class", classify(F.col(text))))
+    return _split_class(spread(rows).withColumn("_class", classify(F.col(text))))
 
 
 def _split_class(rows: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def season_availability(games: DataFrame, docs: DataFrame) -> Availability:
     """
     scheduled = docs.withColumnRenamed("doc_id", "game_id").join(games.select("game_id", "game_date"), "game_id")
     records = availability_records(scheduled)
-    return Availability(records, path_census(scheduled, "game_id"), diagnostics(games, records))
+    return Availability(records, path_census(scheduled), diagnostics(games, records))
 
 
 def diagnostics(games: DataFrame, records: DataFrame) -> DataFrame:

@@ -40,6 +40,22 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Put a small input on all cores before work that is heavy per row.
+
+    An input large enough to fill the cluster by its own splits is returned as it is, unshuffled.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * split else df
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that every later use sees the very same rows."""
     context = df.sparkSession.sparkContext

@@ -35,6 +35,9 @@ def drain(pages: DataFrame, root: str, layout: str = "id") -> StreamingQuery:
 
     def take_in(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        cores = spark.sparkContext.defaultParallelism
+        if batch.rdd.getNumPartitions() < cores:  # a few large files: parsing is worth a shuffle
+            batch = batch.repartition(cores)
         staged = f"{root}/staged/batch={number}"
         extract_box_scores(batch, layout, "quarantine").write.mode("overwrite").parquet(staged)
         parsed = spark.read.parquet(staged)
