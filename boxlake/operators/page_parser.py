@@ -6,7 +6,8 @@ and decides nothing: every rule on top of it is a DataFrame expression.
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 
 from boxlake.fixed_values import OFFICIALS_LABEL
 
@@ -17,109 +18,114 @@ PAGE = (
     "links array<string>, headings array<string>, officials string"
 )
 
-_VOID = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split()
+# A comment, a declaration, or a tag whose quoted attribute values may contain ">".
+_TOKEN = re.compile(
+    r"""<!--.*?-->|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>""", re.DOTALL
 )
-_HIDDEN = frozenset(["script", "style", "template"])
+_ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']+)))?""")
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_RAW_TEXT = frozenset(["script", "style", "template"])
 
 
-class _Reader(HTMLParser):
+def _attributes(text: str) -> dict[str, str]:
+    return {
+        name.lower(): unescape(double or single or bare)
+        for name, double, single, bare in _ATTRIBUTE.findall(text)
+    }
+
+
+class _Page:
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.pieces: list[str] = []  # text of the page so far
-        self.fresh = True  # the next text starts a new piece
-        self.open: list[list] = []  # [tag, first piece, record]
+        self.pieces: list[str] = []  # the page's text so far, cut at every tag
+        self.open: list[tuple] = []  # (tag, number of pieces before it, its record) of open elements
         self.tables, self.links, self.headings = [], [], []
-        self.officials, self.crew_holder = None, None
+        self.crew_holder = self.officials = None
 
-    def updatepos(self, i, j):
-        return j  # line numbers are not reported
+    def inside(self, tag):
+        """Record of the innermost open element of a kind."""
+        for element in reversed(self.open):
+            if element[0] == tag:
+                return element[2]
+        return None
 
-    def innermost(self, tag):
-        return next((e for e in reversed(self.open) if e[0] == tag), None)
+    def text_since(self, first: int) -> str:
+        return unescape("".join(self.pieces[first:]))
 
-    def handle_starttag(self, tag, attrs):
-        self.fresh = True
-        attrs = dict(attrs)
-        record = None
+    def start(self, tag: str, attributes: str) -> None:
+        record = True
         if tag == "table":
+            given = _attributes(attributes)
             record = {
-                "table_id": attrs.get("id"), "classes": (attrs.get("class") or "").split(),
-                "caption": None, "rows": [],
+                "table_id": given.get("id"), "classes": given.get("class", "").split(), "caption": None, "rows": [],
             }
             self.tables.append(record)
-        elif tag == "tr" and (table := self.innermost("table")):
+        elif tag == "tr":
             record = {
-                "has_link": False, "link_text": None, "link_target": None, "has_head": False,
-                "heads": [], "cells": [],
+                "has_link": False, "link_text": None, "link_target": None, "has_head": False, "heads": [], "cells": [],
             }
-            table[2]["rows"].append(record)
+            if table := self.inside("table"):
+                table["rows"].append(record)
         elif tag == "a":
-            record = attrs.get("href")
-            if record is not None:
-                self.links.append(record)
-            row, head = self.innermost("tr"), self.innermost("th")
-            if row and row[2] and head and not row[2]["heads"] and not row[2]["has_link"]:
-                row[2].update(has_link=True, link_target=record)
+            target = _attributes(attributes).get("href")
+            if target is not None:
+                self.links.append(target)
+            row = self.inside("tr")
+            if row and not row["heads"] and not row["has_link"] and self.inside("th"):
+                row.update(has_link=True, link_target=target)
         if tag not in _VOID:
-            self.open.append([tag, len(self.pieces), record])
+            self.open.append((tag, len(self.pieces), record))
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        self.fresh = True
-        if any(e[0] == tag for e in self.open):
-            while self.open:
-                element = self.open.pop()
-                self.finish(element)
-                if element[0] == tag:
-                    break
-
-    def handle_comment(self, data):
-        self.fresh = True
-
-    def handle_data(self, data):
-        if self.open and self.open[-1][0] in _HIDDEN:
-            return
-        if self.fresh:
-            self.pieces.append(data)
-        else:
-            self.pieces[-1] += data
-        self.fresh = False
+    def end(self, tag: str) -> None:
+        if any(element[0] == tag for element in self.open):
+            while self.finish(self.open.pop()) != tag:
+                pass
 
-    def finish(self, element):
+    def finish(self, element) -> str:
         """An element has ended: the pieces since its start are its text."""
         tag, first, _ = element
-        if tag in ("th", "td"):
-            if (row := self.innermost("tr")) and row[2]:
-                row[2]["heads" if tag == "th" else "cells"].append("".join(self.pieces[first:]))
-                row[2]["has_head"] |= tag == "th"
-        elif tag == "a":
-            row = self.innermost("tr")
-            if row and row[2] and row[2]["has_link"] and row[2]["link_text"] is None:
-                row[2]["link_text"] = "".join(self.pieces[first:])
+        if tag in ("td", "th", "a"):
+            if row := self.inside("tr"):
+                if tag == "td":
+                    row["cells"].append(self.text_since(first))
+                elif tag == "th":
+                    row["heads"].append(self.text_since(first))
+                    row["has_head"] = True
+                elif row["has_link"] and row["link_text"] is None:
+                    row["link_text"] = self.text_since(first)
         elif tag == "caption":
-            if (table := self.innermost("table")) and table[2]["caption"] is None:
-                table[2]["caption"] = "".join(self.pieces[first:])
+            if (table := self.inside("table")) and table["caption"] is None:
+                table["caption"] = self.text_since(first)
         elif tag == "h2":
-            self.headings.append("".join(self.pieces[first:]))
+            self.headings.append(self.text_since(first))
         elif tag == "strong" and self.crew_holder is None and self.open:
-            if "".join(self.pieces[first:]).replace("\xa0", " ").strip() == OFFICIALS_LABEL:
+            if self.text_since(first).replace("\xa0", " ").strip() == OFFICIALS_LABEL:
                 self.crew_holder = self.open[-1]
         if element is self.crew_holder:
-            self.officials = " ".join(p.strip() for p in self.pieces[first:] if p.strip())
+            texts = (unescape(piece).strip() for piece in self.pieces[first:])
+            self.officials = " ".join(text for text in texts if text)
+        return tag
 
 
 def read_page(content: bytes | str) -> dict:
-    reader = _Reader()
-    reader.feed(content if isinstance(content, str) else bytes(content).decode("utf-8", "replace"))
-    reader.close()
-    while reader.open:
-        reader.finish(reader.open.pop())
-    return {
-        "tables": reader.tables, "links": reader.links, "headings": reader.headings,
-        "officials": reader.officials,
-    }
+    text = content if isinstance(content, str) else bytes(content).decode("utf-8", "replace")
+    page, at = _Page(), 0
+    while token := _TOKEN.search(text, at):
+        if token.start() > at:
+            page.pieces.append(text[at : token.start()])
+        at = token.end()
+        if not token[2]:
+            continue
+        tag = token[2].lower()
+        if token[1]:
+            page.end(tag)
+        elif tag in _RAW_TEXT:
+            close = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(text, at)
+            at = close.end() if close else len(text)
+        else:
+            page.start(tag, token[3])
+            if token[3].endswith("/") and tag not in _VOID:
+                page.end(tag)
+    page.pieces.append(text[at:])
+    while page.open:
+        page.finish(page.open.pop())
+    return {"tables": page.tables, "links": page.links, "headings": page.headings, "officials": page.officials}
