@@ -4,9 +4,8 @@ from pyspark.sql import types as T
 
 from boxlake.fixed_values import ARCHIVE_COLUMNS
 
-RAW_PAGE = (
-    "league string, file_name string, modification_time timestamp, length long, content binary"
-)
+FILE = "path string, modificationTime timestamp, length long, content binary"
+RAW_PAGE = "league string, file_name string, modification_time timestamp, length long, content binary"
 
 # file_name, table_pos and row_pos carry the order in which rows appear on the pages.
 BOX_SCORE = (
@@ -19,12 +18,10 @@ SCHEDULE = (
     "game_result string, pts int, opp_pts int, wins int, losses int, file_pos long"
 )
 
-TEAM_MAP = ("code string, name string")
-ID_MAP = ("key string, id long")
+TEAM_MAP = "code string, name string"
+ID_MAP = "key string, id long"
 
-PLAYER_AVAILABILITY = (
-    ", ".join(f"{name} {kind}" for name, kind in ARCHIVE_COLUMNS)
-)
+PLAYER_AVAILABILITY = ", ".join(f"{name} {kind}" for name, kind in ARCHIVE_COLUMNS)
 
 PULL_LOG = (
     "league string, dataset string, ts timestamp, seq long, event string, "

@@ -67,7 +67,7 @@ def read_schedule_csv(spark: SparkSession, path: str, league: League) -> DataFra
     table = spark.read.schema(given).options(**_CSV).csv(path)
     return (
         table.withColumn("league", F.lit(league.key))
-        .withColumn("yyyymmdd", F.col("yyyymmdd").cast("int").cast("string"))
+        .withColumn("yyyymmdd", F.col("yyyymmdd").cast("double").cast("long").cast("string"))
         .withColumn("file_pos", F.monotonically_increasing_id())
         .select(*columns(SCHEDULE))
     )

@@ -14,7 +14,7 @@ from boxlake.functions.links import file_glob
 from boxlake.leagues import League
 from boxlake.operators.pages import extract_box_scores
 from boxlake.plans.dimensions import official_map, player_map
-from boxlake.schemas import BOX_SCORE, struct
+from boxlake.schemas import BOX_SCORE, FILE, struct
 from boxlake.sources.dimensions import read_version, write_version
 from boxlake.sources.raw_pages import as_raw_pages
 
@@ -22,7 +22,7 @@ from boxlake.sources.raw_pages import as_raw_pages
 def page_stream(spark: SparkSession, folder: str, league: League, files_per_batch: int = 10_000) -> DataFrame:
     """Raw pages of a folder as a stream; each file is seen once."""
     files = (
-        spark.readStream.format("binaryFile")
+        spark.readStream.format("binaryFile").schema(struct(FILE))
         .option("pathGlobFilter", file_glob(league))
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)

@@ -1,0 +1,211 @@
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from boxlake.leagues import league
+from boxlake.plans.artifacts import artifact_log, build_artifacts
+from boxlake.plans.dimensions import official_map, player_map, team_map
+from boxlake.session import build_session, pin, shared_dir, spread
+from boxlake.sources import dimensions, facts, raw_pages
+from boxlake.streaming.ingest import drain, ingested, ingested_errors, ingested_fact, latest_map, page_stream
+
+WNBA = league("wnba")
+
+
+def page(code, crew, *players):
+    rows = "".join(
+        f"<tr><th><a href='/players/{p}.html'>{p.title()}</a></th><td>20:00</td><td>{i}</td></tr>" for i, p in enumerate(players)
+    )
+    return (
+        f"<div><strong>Officials:&nbsp;</strong>{crew}</div><table class='stats_table' id='box-{code}-game-basic'>"
+        f"<caption>Team {code} (1-0) Table</caption><tr></tr><tr><th></th><th>MP</th><th>PTS</th></tr>{rows}</table>"
+    ).encode()
+
+
+FILES = {
+    "wnba_boxscores_202505160WAS.html": page("WAS", "Zed, Ann", "p3", "p1"),
+    "wnba_boxscores_202505170ATL.html": page("ATL", "Bob, Zed", "p1", "p2"),
+    "wnba_boxscores_202605170ATL.html": page("ATL", "Ann, Cyd", "p0", "p3"),
+}
+OTHERS = {
+    "boxscores_202105160TOR.html": b"another league", "wnba_boxscores_pbp_202505160WAS.html": b"<table id='pbp'>",
+    "wnba_teams_ATL_2025_games.html": b"schedule", "notes.txt": b"x",
+}
+BROKEN = "wnba_boxscores_202505150WAS.html"
+
+
+def put(folder, files):
+    for name, content in files.items():
+        (folder / name).write_bytes(content)
+
+
+@pytest.fixture
+def cache(tmp_path):
+    folder = tmp_path / "raw"
+    (folder / "below").mkdir(parents=True)
+    put(folder, {**FILES, **OTHERS})
+    put(folder / "below", {"wnba_boxscores_202505180ATL.html": b"not at the top level"})
+    return folder
+
+
+def ids(table):
+    return {r.key: r.id for r in table.collect()}
+
+
+def test_scan_takes_own_pages_of_the_top_level(spark, cache):
+    assert sorted(r.file_name for r in raw_pages.read_raw_pages(spark, str(cache), WNBA).collect()) == sorted(FILES)
+    pbp = raw_pages.read_play_by_play(spark, str(cache), WNBA)
+    assert [r.file_name for r in pbp.collect()] == ["wnba_boxscores_pbp_202505160WAS.html"]
+    assert raw_pages.read_raw_pages(spark, str(cache / "missing"), WNBA).collect() == []
+    assert [r.file_name for r in raw_pages.read_raw_pages(spark, str(cache), league("nba")).collect()] == ["boxscores_202105160TOR.html"]
+
+
+def test_newest_file_is_listed_without_content(spark, cache):
+    now = time.time() + 1000
+    os.utime(cache / "wnba_boxscores_202505170ATL.html", (now, now))
+    newest = raw_pages.newest_file(raw_pages.read_raw_pages(spark, str(cache), WNBA)).first()
+    assert abs(newest.newest_raw_file.timestamp() - now) < 86_400
+
+
+def test_compacted_pages_read_back(spark, cache, tmp_path):
+    pages = raw_pages.read_raw_pages(spark, str(cache), WNBA)
+    raw_pages.compact_raw_pages(pages, str(tmp_path / "bronze"), WNBA)
+    back = spark.read.parquet(str(tmp_path / "bronze"))
+    assert {(r.year, r.file_name) for r in back.collect()} == {(int(n[15:19]), n) for n in FILES}
+    assert back.where("year = 2026").count() == 1
+
+
+def test_build_writes_fact_and_maps(spark, cache, tmp_path):
+    pages, root = raw_pages.read_raw_pages(spark, str(cache), WNBA), str(tmp_path / "out")
+    summary = build_artifacts(spark, pages, root, WNBA)
+    assert {r.artifact: (r.rows_out, r.source_files) for r in summary.collect()} == {
+        "agg": (6, 3), "team_map": (2, 3), "official_map": (4, 3), "player_map": (4, 3)
+    }
+    assert artifact_log(summary, WNBA).count() == 4
+    assert ids(dimensions.read_version(spark, f"{root}/player_map", 0)) == {"p3": 0, "p1": 1, "p2": 2, "p0": 3}
+    assert ids(dimensions.read_version(spark, f"{root}/official_map", 0)) == {"Ann": 0, "Bob": 1, "Cyd": 2, "Zed": 3}
+    fact = facts.read_box_scores(spark, f"{root}/fact")
+    assert {r.season for r in fact.collect()} == {2025, 2026}
+    # a second build goes on from the first one's ids
+    put(cache, {"wnba_boxscores_202505100ATL.html": page("ATL", "Abe", "p9")})
+    build_artifacts(spark, raw_pages.read_raw_pages(spark, str(cache), WNBA), root, WNBA, version=1, known=0)
+    assert ids(dimensions.read_version(spark, f"{root}/player_map", 1)) == {"p3": 0, "p1": 1, "p2": 2, "p0": 3, "p9": 4}
+    assert ids(dimensions.read_version(spark, f"{root}/official_map", 1))["Abe"] == 4
+
+
+def test_build_of_nothing_writes_nothing(spark, tmp_path):
+    pages = raw_pages.read_raw_pages(spark, str(tmp_path / "none"), WNBA)
+    assert [tuple(r) for r in build_artifacts(spark, pages, str(tmp_path / "out"), WNBA).collect()] == [("agg", 0, 0)]
+    assert not (tmp_path / "out").exists()
+
+
+def test_bad_page_fails_the_build_or_is_set_aside(spark, cache, tmp_path):
+    put(cache, {BROKEN: b"<html>no tables</html>"})
+    pages = raw_pages.read_raw_pages(spark, str(cache), WNBA)
+    with pytest.raises(Exception, match="no full-game tables"):
+        build_artifacts(spark, pages, str(tmp_path / "a"), WNBA)
+    summary = build_artifacts(spark, pages, str(tmp_path / "b"), WNBA, mode="quarantine")
+    assert summary.where("artifact = 'agg'").first().rows_out == 6
+    assert [r.file_name for r in spark.read.parquet(str(tmp_path / "b/errors")).collect()] == [BROKEN]
+
+
+def test_csv_round_trip(spark, cache, tmp_path):
+    root = str(tmp_path / "out")
+    build_artifacts(spark, raw_pages.read_raw_pages(spark, str(cache), WNBA), root, WNBA)
+    facts.export_box_scores_csv(facts.read_box_scores(spark, f"{root}/fact"), str(tmp_path / "agg"))
+    back = facts.read_box_scores_csv(spark, str(tmp_path / "agg"))
+    assert back.columns == ["Player", "Player ID", "MP", "PTS", "Team", "Team Code", "Period", "Officials", "filename"]
+    first = back.where("filename = 'wnba_boxscores_202505160WAS.html' AND `Player ID` = 'p1'").first()
+    assert (first.Player, first.MP, first.PTS, first.Team, first.Officials) == ("P1", "20:00", "1", "Team WAS", "Zed|Ann")
+    crews = facts.read_box_scores_csv(spark, str(tmp_path / "agg"), ["Officials"])
+    assert "ReadSchema: struct<Officials:string>" in crews._jdf.queryExecution().toString()
+
+
+def test_empty_csv_fields_are_null(spark, tmp_path):
+    (tmp_path / "agg.csv").write_text('Player,Player ID,MP,PTS,Team,Team Code,Period,Officials,filename\n"A ""B"" C",,DNP,,T,,FG,,f\n')
+    row = facts.read_box_scores_csv(spark, str(tmp_path / "agg.csv")).first()
+    assert tuple(row) == ('A "B" C', None, "DNP", None, "T", None, "FG", None, "f")
+
+
+def test_schedule_csv_keeps_file_order(spark, tmp_path):
+    (tmp_path / "schedule.csv").write_text(
+        "team,season,yyyymmdd,opp_name,game_location,game_result,pts,opp_pts,wins,losses\n"
+        "TOR,2019,20181017.0,Cleveland Cavaliers ,,W,116,104,1,0\nTOR,2019,20181019,Boston Celtics,@,W,113,101,2,0\n"
+    )
+    rows = facts.read_schedule_csv(spark, str(tmp_path / "schedule.csv"), league("nba")).orderBy("file_pos").collect()
+    assert [(r.yyyymmdd, r.game_location, r.pts) for r in rows] == [("20181017", None, 116), ("20181019", "@", 113)]
+
+
+def test_json_maps(spark, tmp_path):
+    (tmp_path / "team_map.json").write_text('{"ATL": "Atlanta Hawks ", "BOS": "Boston \\"C\\""}')
+    teams = dimensions.read_team_map(spark, str(tmp_path / "team_map.json"))
+    assert [tuple(r) for r in teams.orderBy("pos").collect()] == [("ATL", "Atlanta Hawks ", 0), ("BOS", 'Boston "C"', 1)]
+    table = spark.createDataFrame([("b", 1), ("a", 0)], "key string, id long")
+    dimensions.export_json_map(table, str(tmp_path / "out"))
+    assert ids(dimensions.read_json_map(spark, str(tmp_path / "out"))) == {"a": 0, "b": 1}
+
+
+def test_large_json_maps_become_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(dimensions, "JSON_OBJECT_LIMIT", 1)
+    table = spark.createDataFrame([("b", 1), ("a", 0)], "key string, id long")
+    dimensions.export_json_map(table, str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out")).count() == 2
+
+
+def test_ingest_in_steps_equals_a_full_build(spark, tmp_path):
+    folder, root = tmp_path / "raw", str(tmp_path / "stream")
+    folder.mkdir()
+    for name, content in FILES.items():
+        put(folder, {name: content})
+        drain(page_stream(spark, str(folder), WNBA), root).awaitTermination()
+    put(folder, {BROKEN: b"<html>no tables</html>", **OTHERS})
+    for _ in range(2):  # the second run finds nothing new
+        drain(page_stream(spark, str(folder), WNBA), root).awaitTermination()
+
+    built = str(tmp_path / "built")
+    build_artifacts(spark, raw_pages.read_raw_pages(spark, str(folder), WNBA), built, WNBA, mode="quarantine")
+    full = facts.read_box_scores(spark, f"{built}/fact").drop("season")
+    step = ingested_fact(spark, root)
+    assert sorted(map(str, step.collect())) == sorted(map(str, full.select(step.columns).collect()))
+    for name in ("player_map", "official_map"):
+        # officials are numbered in name order within a step, so only players keep one order overall
+        one, other = ids(latest_map(spark, root, name)), ids(dimensions.read_version(spark, f"{built}/{name}", 0))
+        assert set(one) == set(other) and sorted(one.values()) == list(range(len(one)))
+        assert name == "official_map" or one == other
+    assert [r.file_name for r in ingested_errors(spark, root).collect()] == [BROKEN]
+    assert {r.code for r in team_map(step).collect()} == {"ATL", "WAS"}
+
+
+def test_repeated_batch_replaces_itself(spark, tmp_path):
+    folder, root = tmp_path / "raw", tmp_path / "stream"
+    folder.mkdir()
+    put(folder, FILES)
+    drain(page_stream(spark, str(folder), WNBA), str(root)).awaitTermination()
+    rows, players = ingested(spark, str(root)).count(), ids(latest_map(spark, str(root), "player_map"))
+    for mark in (root / "progress" / "commits").iterdir():  # as if the query had died before it noted the end
+        mark.unlink()
+    drain(page_stream(spark, str(folder), WNBA), str(root)).awaitTermination()
+    assert ingested(spark, str(root)).count() == rows == 6
+    assert ids(latest_map(spark, str(root), "player_map")) == players
+
+
+def test_maps_of_an_empty_fact(spark):
+    empty = spark.createDataFrame([], "file_name string, table_pos int, row_pos int, player_id string, officials array<string>")
+    known = spark.createDataFrame([("a", 4)], "key string, id long")
+    assert ids(player_map(empty, known)) == ids(official_map(empty, known)) == {"a": 4}
+
+
+def test_shared_folder_and_spreading(spark, tmp_path):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert build_session() is not None
+    table = spark.range(100, numPartitions=1)
+    assert spread(table).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10b")
+    try:
+        assert spread(table).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    pinned = pin(table.withColumn("r", F.rand()))
+    assert pinned.collect() == pinned.collect()
