@@ -31,10 +31,11 @@ def file_pattern(league: League, kind: str = BOX_SCORE) -> str:
     return f"^{prefix}boxscores_{'pbp_' if kind == PLAY_BY_PLAY else ''}{_GAME}"
 
 
-def file_glob(league: League, kind: str = BOX_SCORE) -> str:
+def file_glob(league: League, kind: str = BOX_SCORE, years: list[int] | None = None) -> str:
     """A coarse glob for the reader's file listing; ``file_pattern`` still decides."""
     prefix = f"{league.prefix}_" if league.prefix else ""
-    return f"{prefix}boxscores_{'pbp_' if kind == PLAY_BY_PLAY else '[0-9]'}*.html"
+    start = f"{{{','.join(map(str, years))}}}" if years else "[0-9]"
+    return f"{prefix}boxscores_{'pbp_' if kind == PLAY_BY_PLAY else ''}{start}*.html"
 
 
 def is_valid_date(date: Column) -> Column:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boxlake.fixed_values import EXPECTED_PLAYERS
 from boxlake.functions.links import decode_file_name
 from boxlake.functions.minutes import is_complete_game, played_seconds
 from boxlake.functions.text import strip
 from boxlake.leagues import League
+from boxlake.operators.identity import check_size
 from boxlake.plans.dimensions import reverse_team_map
 
 
@@ -27,6 +29,12 @@ def attach_player(rows: DataFrame, players: DataFrame, player: str = "player_id"
     return rows.join(players.select(F.col("key").alias(player), F.col("id").alias("pid")), player, "left")
 
 
+def check_players(players: DataFrame, league: League) -> int:
+    """Fail if the player map of a league with a pinned size has changed: trained models index by it."""
+    expected = EXPECTED_PLAYERS.get(league.key)
+    return players.count() if expected is None else check_size(players, expected, f"{league.key} player map")
+
+
 def enrich(fact: DataFrame, teams: DataFrame, players: DataFrame, league: League) -> DataFrame:
     """Add team, date, home_abrev, is_home and pid; the page's own team name becomes team_ln."""
     named = fact.withColumnRenamed("team", "team_ln")

@@ -15,13 +15,16 @@ def _name_of(path) -> F.Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def read_raw_pages(spark: SparkSession, folder: str, league: League, kind: str = BOX_SCORE) -> DataFrame:
+def read_raw_pages(
+    spark: SparkSession, folder: str, league: League, kind: str = BOX_SCORE, years: list[int] | None = None
+) -> DataFrame:
     """Pages of one league and kind at the top level of a folder; none if the folder is missing.
 
-    The glob prunes the listing; the league's whole-name pattern then decides, so another league's
-    page or a play-by-play page is never taken for a box score. Content is read only if used.
+    The glob prunes the listing, by calendar years too if given, before any content is read; the
+    league's whole-name pattern then decides, so another league's page or a play-by-play page is
+    never taken for a box score. Content is read only if used.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", file_glob(league, kind))
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", file_glob(league, kind, years))
     try:
         files = reader.load(folder)
     except AnalysisException as missing:
@@ -42,26 +45,31 @@ def as_raw_pages(files: DataFrame, league: League, kind: str = BOX_SCORE) -> Dat
     )
 
 
-def read_play_by_play(spark: SparkSession, folder: str, league: League) -> DataFrame:
-    return read_raw_pages(spark, folder, league, PLAY_BY_PLAY)
+def read_play_by_play(
+    spark: SparkSession, folder: str, league: League, years: list[int] | None = None
+) -> DataFrame:
+    return read_raw_pages(spark, folder, league, PLAY_BY_PLAY, years)
 
 
 def compact_raw_pages(
-    pages: DataFrame, path: str, league: League, kind: str = BOX_SCORE, pages_per_file: int = 2000
+    pages: DataFrame, path: str, league: League, kind: str = BOX_SCORE, bytes_per_file: int = 128 * 1024 * 1024
 ) -> None:
-    """Write many small page files as few Parquet files by league and year, ordered by file name.
+    """Write many small page files as few Parquet files by league and year.
 
-    Ranges split a year that holds most pages over many tasks.
+    A first look at the listing alone gives each year's size and so its number of files; pages are
+    then dealt out by name, so the year that holds most pages is written by as many tasks as it
+    needs, and content is read once.
     """
-    year = file_year(league, F.col("file_name"), kind)
+    dated = pages.withColumn("year", file_year(league, F.col("file_name"), kind))
+    sizes = dated.groupBy("league", "year").agg(F.ceil(F.sum("length") / bytes_per_file).alias("_files"))
+    total = sizes.agg(F.sum("_files")).first()[0] or 1
+    # a row per four-digit year
+    placed = dated.join(F.broadcast(sizes), ["league", "year"]).withColumn(
+        "_slot", F.pmod(F.xxhash64("file_name"), F.greatest("_files", F.lit(1)))
+    )
     (
-        pages.withColumn("year", year)
-        .repartitionByRange("league", "year", "file_name")
-        .sortWithinPartitions("league", "year", "file_name")
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", pages_per_file)
-        .partitionBy("league", "year")
-        .parquet(path)
+        placed.repartition(total, "league", "year", "_slot").drop("_files", "_slot")
+        .write.mode("overwrite").partitionBy("league", "year").parquet(path)
     )
 
 

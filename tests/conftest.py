@@ -43,3 +43,17 @@ def values(spark):
         return [r.y for r in rows.select("i", expression.alias("y")).orderBy("i").collect()]
 
     return evaluate
+
+
+@pytest.fixture(autouse=True)
+def interpreted(request):
+    """Tiny inputs are not worth compiling code for; the oracle tests run the generated code."""
+    if "spark" not in request.fixturenames or "test_oracle" in request.node.nodeid:
+        yield
+        return
+    session = request.getfixturevalue("spark")
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+    yield
+    session.conf.unset("spark.sql.codegen.wholeStage")
+    session.conf.unset("spark.sql.codegen.factoryMode")

@@ -58,6 +58,8 @@ def test_scan_takes_own_pages_of_the_top_level(spark, cache):
     assert sorted(r.file_name for r in raw_pages.read_raw_pages(spark, str(cache), WNBA).collect()) == sorted(FILES)
     pbp = raw_pages.read_play_by_play(spark, str(cache), WNBA)
     assert [r.file_name for r in pbp.collect()] == ["wnba_boxscores_pbp_202505160WAS.html"]
+    assert raw_pages.read_raw_pages(spark, str(cache), WNBA, years=[2024, 2025]).count() == 2
+    assert raw_pages.read_play_by_play(spark, str(cache), WNBA, years=[2026]).count() == 0
     assert raw_pages.read_raw_pages(spark, str(cache / "missing"), WNBA).collect() == []
     assert [r.file_name for r in raw_pages.read_raw_pages(spark, str(cache), league("nba")).collect()] == ["boxscores_202105160TOR.html"]
 
@@ -71,7 +73,7 @@ def test_newest_file_is_listed_without_content(spark, cache):
 
 def test_compacted_pages_read_back(spark, cache, tmp_path):
     pages = raw_pages.read_raw_pages(spark, str(cache), WNBA)
-    raw_pages.compact_raw_pages(pages, str(tmp_path / "bronze"), WNBA)
+    raw_pages.compact_raw_pages(pages, str(tmp_path / "bronze"), WNBA, bytes_per_file=100)
     back = spark.read.parquet(str(tmp_path / "bronze"))
     assert {(r.year, r.file_name) for r in back.collect()} == {(int(n[15:19]), n) for n in FILES}
     assert back.where("year = 2026").count() == 1

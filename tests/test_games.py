@@ -7,6 +7,7 @@ from boxlake.functions.links import decode_file_name
 from boxlake.leagues import league
 from boxlake.operators.game_chain import link_games, neighbours_on
 from boxlake.operators.reconcile import game_summary, gap_rows, gap_summary, refresh_list
+from boxlake.plans.backfill import expected_pages, pages_to_fetch, pull_counts
 from boxlake.plans.box_scores import enrich, game_rows, team_minutes
 from boxlake.plans.coverage import coverage, play_by_play_gaps, play_by_play_summary
 from boxlake.plans.schedule import away_teams, games_on, prepare, records, resolve_home, scores
@@ -204,6 +205,28 @@ def test_schedule_targets(spark, frame):
     assert [r.code for r in mapped.collect()] == ["BOS", "TOR"]
 
 
+def test_backlog_of_pages(frame):
+    targets = frame([("/wnba/teams/ATL/2026_games.html", 2026), ("/wnba/teams/ATL/2025_games.html", 2025)], "link string, season int")
+    links = frame([("/wnba/boxscores/202605170ATL.html",)] * 2, "link string")
+    expected = expected_pages(targets, links, WNBA)
+    assert {(r.file_name, r.kind, r.season) for r in expected.collect()} == {
+        ("wnba_teams_ATL_2026_games.html", "schedule", 2026), ("wnba_teams_ATL_2025_games.html", "schedule", 2025),
+        ("wnba_boxscores_202605170ATL.html", "box_score", 2026), ("wnba_boxscores_pbp_202605170ATL.html", "play_by_play", 2026),
+    }
+    held = frame(
+        [("wnba_teams_ATL_2026_games.html", "2026-05-18 00:00:00"), ("wnba_boxscores_202605170ATL.html", "2026-05-18 00:00:00")],
+        "file_name string, t string",
+    ).withColumn("modification_time", F.col("t").cast("timestamp"))
+    due = pages_to_fetch(expected, held, F.lit("2026-05-18 07:00:00"), F.lit(2026))
+    assert {(r.link, r.cause) for r in due.collect()} == {
+        ("/wnba/teams/ATL/2026_games.html", "expired"), ("/wnba/teams/ATL/2025_games.html", "missing"),
+        ("/wnba/boxscores/pbp/202605170ATL.html", "missing"),
+    }
+    assert {tuple(r) for r in pull_counts(expected, due).collect()} == {
+        ("schedule", 2, 2, 0), ("box_score", 1, 0, 1), ("play_by_play", 1, 1, 0)
+    }
+
+
 def test_resolve_home_keeps_unknown_opponents(frame):
     rows = frame([("A", 2025, "20250101", "Nobody", "@", "W", 1, 2, 0, 0, 1)], SCHEDULE)
     row = resolve_home(rows, frame([("B", "Bees")], "code string, name string")).first()

@@ -7,6 +7,7 @@ from boxlake.leagues import league
 from boxlake.operators.identity import append_ids_first_seen, append_ids_sorted, check_size, crew_members, unseen_keys
 from boxlake.operators.numbering import number_rows
 from boxlake.operators.tally import keep_last, modal_value, top_values, union_all, value_counts, value_shares
+from boxlake.plans.box_scores import check_players
 from boxlake.plans.dimensions import official_map, player_map, reverse_team_map, team_map, team_map_from_file_names
 
 FACT = "file_name string, table_pos int, row_pos int, player_id string"
@@ -72,6 +73,9 @@ def test_dimension_size_is_guarded(frame):
     assert check_size(table, 1, "player map") == 1
     with pytest.raises(ValueError, match="player map holds 1 rows, expected 2"):
         check_size(table, 2, "player map")
+    assert check_players(table, league("wnba")) == 1
+    with pytest.raises(ValueError, match="nba player map holds 1 rows, expected 1442"):
+        check_players(table, league("nba"))
 
 
 def test_team_map_takes_the_commonest_spelling(frame):
