@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from boxlake.catalog.games import MAIN, _FILES, order_files
 from boxlake.catalog.registry import query, table
+from boxlake.functions.seasons import season_label
 from boxlake.operators.occupancy import window_occupancy
 from boxlake.operators.reconcile import refresh_list
-from boxlake.plans.status import fold_artifacts, fold_pulls, freshness, pull_totals
+from boxlake.plans.backfill import expected_pages, pages_to_fetch, pull_counts
+from boxlake.plans.status import fold_artifacts, fold_pulls, freshness, pull_totals, schedule_targets
 
 
 def _window_sql(by: str, seconds: int, capacity: int, gap: int) -> str:
@@ -124,6 +127,32 @@ def refresh_due(spark, folder):
     return refresh_list(expected, inventory, F.lit("2024-01-31 00:00:00"), F.lit(3))
 
 
+@query(f"""
+WITH games AS (SELECT DISTINCT replace(file_name, '.html', '') AS game, year(o_orderdate) AS y, month(o_orderdate) AS m FROM ({_FILES})),
+held AS (SELECT DISTINCT replace(file_name, '.html', '') AS game FROM ({_FILES}) WHERE o_orderstatus = 'F'),
+seasons AS (SELECT DISTINCT CASE WHEN m >= 10 THEN y + 1 ELSE y END AS season FROM games),
+targets AS (SELECT n_name, season FROM nation, seasons)
+SELECT 'schedule' AS kind, count(*) AS expected, count(*) FILTER (season = 1998) AS due, count(*) FILTER (season <> 1998) AS held FROM targets
+UNION ALL
+SELECT 'box_score', count(*), count(*) FILTER (held.game IS NULL), count(held.game) FROM games LEFT JOIN held USING (game)
+UNION ALL
+SELECT 'play_by_play', count(*), count(*), 0 FROM games
+""")
+def backlog(spark, folder):
+    """Pages to fetch: all schedule pages are held, those of 1998 are too old; some box scores are held."""
+    files = order_files(spark, folder)
+    links = files.select(F.concat(F.lit("/boxscores/"), F.substring("file_name", 11, 100)).alias("link"), "o_orderdate")
+    seasons = files.select(season_label(F.col("o_orderdate"), MAIN.spans_years).alias("season")).distinct()
+    teams = table(spark, folder, "nation").select(F.col("n_name").alias("code"))
+    expected = expected_pages(schedule_targets(teams, seasons, MAIN), links, MAIN)
+    then = F.lit("1998-01-01 00:00:00").cast("timestamp").alias("modification_time")
+    inventory = files.where("o_orderstatus = 'F'").select("file_name", then).unionByName(
+        expected.where("kind = 'schedule'").select("file_name", then)
+    )
+    due = pages_to_fetch(expected, inventory, F.lit("1998-01-02 00:00:00"), F.lit(1998))
+    return pull_counts(expected, due)
+
+
 @query("""
 SELECT o_orderpriority AS league, year(o_orderdate) AS season, count(*) FILTER (o_orderstatus = 'F') AS new,
        count(*) FILTER (o_orderstatus = 'O') AS cached, count(*) FILTER (o_orderstatus = 'P') AS failed

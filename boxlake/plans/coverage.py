@@ -10,6 +10,7 @@ from boxlake.functions.seasons import in_season
 from boxlake.leagues import League
 from boxlake.operators.pages import mark_play_by_play
 from boxlake.operators.reconcile import game_summary, gap_rows, gap_summary
+from boxlake.operators.tally import union_all
 
 
 def _of_season(names: DataFrame, league: League, season: int | None, kind: str, year_filter: str) -> DataFrame:
@@ -51,12 +52,16 @@ def coverage(
 
     Without a fact only the cached-file and play-by-play counts are there.
     """
-    cached = box_scores.agg(F.count("*").alias("cached_box_scores")).withColumn("league", F.lit(league.key))
-    pages = play_by_play_summary(box_scores, pbp_pages, league, season, year_filter)
-    report = cached.join(pages.withColumn("league", F.lit(league.key)), "league")
+    reports = [
+        box_scores.agg(F.count("*").alias("cached_box_scores")),
+        play_by_play_summary(box_scores, pbp_pages, league, season, year_filter),
+    ]
     if fact is not None:
         date = decode_file_name(league, F.col("file_name"), strict=True)["date"]
         names = _of_season(fact.select("file_name"), league, season, "box_score", year_filter)
-        held = game_summary(names, "file_name", date).withColumn("league", F.lit(league.key))
-        report = held.join(report, "league")
-    return report.withColumn("season", F.lit(season).cast("int"))
+        reports.insert(0, game_summary(names, "file_name", date))
+    # one row each, folded into one without a join
+    rows = union_all(*reports)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns]).select(
+        F.lit(league.key).alias("league"), F.lit(season).cast("int").alias("season"), "*"
+    )
