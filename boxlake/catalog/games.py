@@ -36,7 +36,7 @@ def order_games(spark, folder):
 
 
 _CHAIN = f"""
-SELECT o_custkey AS team, year(o_orderdate) AS season, {sql_day('o_orderdate')} AS yyyymmdd,
+SELECT o_custkey AS team, CAST(year(o_orderdate) AS INTEGER) AS season, {sql_day('o_orderdate')} AS yyyymmdd,
        o_orderkey AS file_pos,
        lag({sql_day('o_orderdate')}) OVER w AS prev_game_dt,
        lead({sql_day('o_orderdate')}) OVER w AS next_game_dt
@@ -70,8 +70,8 @@ def game_neighbours(spark, folder):
 
 @query("""
 SELECT o_orderkey,
-       CASE WHEN month(o_orderdate) >= 10 THEN year(o_orderdate) + 1 ELSE year(o_orderdate) END AS spanning,
-       year(o_orderdate) AS single
+       CAST(CASE WHEN month(o_orderdate) >= 10 THEN year(o_orderdate) + 1 ELSE year(o_orderdate) END AS INTEGER) AS spanning,
+       CAST(year(o_orderdate) AS INTEGER) AS single
 FROM orders
 """)
 def season_labels(spark, folder):
@@ -84,7 +84,7 @@ def season_labels(spark, folder):
 
 
 @query("""
-SELECT o_orderkey, year(o_orderdate) AS season FROM orders WHERE year(o_orderdate) IN (1995, 1996, 1997, 1999)
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS season FROM orders WHERE year(o_orderdate) IN (1995, 1996, 1997, 1999)
 """)
 def season_spec(spark, folder):
     wanted = season_list(spark, "1995-1997, 1999,", OTHER, "2026-10-20")
@@ -298,7 +298,7 @@ pairs AS (
   SELECT 'C' || c_custkey AS home, 'N' || n_nationkey AS away, {sql_day('o_orderdate')} AS yyyymmdd,
          CAST(floor(o_totalprice) AS INTEGER) AS price, c_nationkey AS nation, o_orderkey,
          o_orderstatus AS game_result, CAST(c_custkey AS INTEGER) AS wins, n_regionkey AS losses,
-         year(o_orderdate) AS season
+         CAST(year(o_orderdate) AS INTEGER) AS season
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
 sched AS (
   SELECT home AS team, away AS opp, home AS home_team, yyyymmdd, season, NULL AS game_location, price AS pts,
@@ -367,7 +367,7 @@ def team_records(spark, folder):
 
 @query("""
 SELECT n_name AS team, season, '/wnba/teams/' || n_name || '/' || season || '_games.html' AS link
-FROM nation, (SELECT DISTINCT year(o_orderdate) AS season FROM orders)
+FROM nation, (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS season FROM orders)
 """)
 def season_targets(spark, folder):
     seasons = table(spark, folder, "orders").select(F.year("o_orderdate").alias("season")).distinct()

@@ -154,7 +154,7 @@ def backlog(spark, folder):
 
 
 @query("""
-SELECT o_orderpriority AS league, year(o_orderdate) AS season, count(*) FILTER (o_orderstatus = 'F') AS new,
+SELECT o_orderpriority AS league, CAST(year(o_orderdate) AS INTEGER) AS season, count(*) FILTER (o_orderstatus = 'F') AS new,
        count(*) FILTER (o_orderstatus = 'O') AS cached, count(*) FILTER (o_orderstatus = 'P') AS failed
 FROM orders GROUP BY ALL
 """)

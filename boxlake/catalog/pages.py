@@ -25,7 +25,7 @@ def link_discovery(spark, folder):
 
 _ALL_LINKS = r"""
 SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS link,
-       generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) - 1 AS link_pos
+       CAST(generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) - 1 AS INTEGER) AS link_pos
 FROM pages
 """
 
