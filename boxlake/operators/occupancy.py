@@ -8,6 +8,38 @@ from pyspark.sql import functions as F
 from boxlake.fixed_values import MAX_REQUESTS, MIN_GAP_SECONDS, WINDOW_SECONDS
 
 
+_SLICES_PER_ERA = 5_000
+
+
+def _around(totals: DataFrame, keys: tuple[str, ...], at: str, prefix: str = "") -> DataFrame:
+    """Add what the totals before and after a row say: the sum carried, the last hit, the next expiry."""
+    chain = Window.partitionBy(*keys).orderBy(at)
+    past = chain.rowsBetween(Window.unboundedPreceding, -1)
+    future = chain.rowsBetween(1, Window.unboundedFollowing)
+    return totals.select(
+        *keys, at,
+        F.coalesce(F.sum("net").over(past), F.lit(0)).alias(f"{prefix}carried"),
+        F.max("last_hit").over(past).alias(f"{prefix}carried_hit"),
+        F.min("first_expiry").over(future).alias(f"{prefix}coming_expiry"),
+    )
+
+
+def _chain_slices(slices: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Chain slice totals in two steps, within eras and over eras, so that a log of any length stays
+    spread out even when all requests share one budget."""
+    dated = slices.withColumn("era", F.floor(F.col("slice") / _SLICES_PER_ERA))
+    eras = dated.groupBy(*by, "era").agg(
+        F.sum("net").alias("net"), F.max("last_hit").alias("last_hit"), F.min("first_expiry").alias("first_expiry")
+    )
+    within = _around(dated, (*by, "era"), "slice")
+    return within.join(_around(eras, by, "era", "era_"), [*by, "era"]).select(
+        *by, "slice",
+        (F.col("carried") + F.col("era_carried")).alias("carried"),
+        F.coalesce("carried_hit", "era_carried_hit").alias("carried_hit"),
+        F.coalesce("coming_expiry", "era_coming_expiry").alias("coming_expiry"),
+    )
+
+
 def window_occupancy(
     log: DataFrame,
     ts: str = "ts",
@@ -25,7 +57,7 @@ def window_occupancy(
     Requests are counted per instant first. Each instant then adds its requests at ``t`` and takes
     them off at ``t + window``, so occupancy is a running sum. That sum is kept within short time
     slices, and only slice totals are chained, so neither a hot host nor the single shared budget
-    has to pass through one task row by row.
+    has to pass through one task.
     """
     window, gap, slice_us = (int(s * 1_000_000) for s in (window_seconds, min_gap_seconds, slice_seconds))
     instants = log.groupBy(*by, F.unix_micros(F.col(ts).cast("timestamp")).alias("_t")).agg(
@@ -56,20 +88,10 @@ def window_occupancy(
         F.min(expiry).over(later).alias("expiry_after"),
     ).where("hit IS NOT NULL")
 
-    chain = Window.partitionBy(*by).orderBy("slice")
-    past = chain.rowsBetween(Window.unboundedPreceding, -1)
-    future = chain.rowsBetween(1, Window.unboundedFollowing)
-    slices = (
-        moves.groupBy(*by, "slice")
-        .agg(F.sum("step").alias("net"), F.max("hit").alias("last_hit"), F.min(expiry).alias("first_expiry"))
-        .select(
-            *by, "slice",
-            F.coalesce(F.sum("net").over(past), F.lit(0)).alias("carried"),
-            F.max("last_hit").over(past).alias("carried_hit"),
-            F.min("first_expiry").over(future).alias("coming_expiry"),
-        )
+    slices = moves.groupBy(*by, "slice").agg(
+        F.sum("step").alias("net"), F.max("hit").alias("last_hit"), F.min(expiry).alias("first_expiry")
     )
-    joined = local.join(slices, [*by, "slice"])
+    joined = local.join(_chain_slices(slices, by), [*by, "slice"])
     in_window = F.col("carried") + F.col("running")
     gap_us = F.when(F.col("step") > 1, F.lit(0)).otherwise(
         F.col("t") - F.coalesce("hit_before", "carried_hit")

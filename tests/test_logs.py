@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from boxlake.operators import occupancy
 from boxlake.operators.occupancy import window_occupancy
 from boxlake.plans.status import fold_artifacts, fold_pulls, freshness, pull_totals, status
 from boxlake.schemas import ARTIFACT_LOG, PULL_LOG
@@ -43,8 +44,9 @@ def test_requests_of_one_instant_count_together(frame):
     assert (seen[None, 0].requests, seen[None, 0].in_window, seen[None, 0].gap_us, seen[None, 0].too_close) == (3, 3, 0, True)
 
 
-@pytest.mark.parametrize("slice_seconds", [1, 7, 1000])
-def test_against_brute_force_with_a_hot_host(frame, slice_seconds):
+@pytest.mark.parametrize("slice_seconds, per_era", [(1, 5000), (1, 7), (7, 2), (1000, 5000)])
+def test_against_brute_force_with_a_hot_host(frame, monkeypatch, slice_seconds, per_era):
+    monkeypatch.setattr(occupancy, "_SLICES_PER_ERA", per_era)
     draw = random.Random(11)
     log = [("hot" if draw.random() < 0.5 else draw.choice("xyz"), at(draw.randint(0, 4000) / 10)) for _ in range(1500)]
     seen = audit(frame, log, by=("host",), window_seconds=12, capacity=4, min_gap_seconds=2, slice_seconds=slice_seconds)
