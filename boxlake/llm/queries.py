@@ -160,10 +160,10 @@ def op8_private_data(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _TOP_K_SQL = """
-WITH given AS (SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+WITH given AS (SELECT vec_id, [CAST(x AS DOUBLE) for x in embedding] AS e FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-whole AS (SELECT vec_id, list_transform(e, x -> floor(64 * x)) AS w FROM given),
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+whole AS (SELECT vec_id, [floor(64 * x) for x in e] AS w FROM given),
 scored AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
     FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.w) = len(c.w) WHERE q.vec_id % 20 = 0)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score

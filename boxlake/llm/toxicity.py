@@ -20,13 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxlake.llm.common import packed, rows_of
+from boxlake.llm.common import packed, rows_of, stored
 
 THRESHOLD = 0.3
 #: Bounds of the training sample, in texts of each label, and of the learned lexicon.
 TOXIC_TEXTS, CLEAN_TEXTS, MOST_ENTRIES = 1500, 3500, 2000
-#: A learned entry occurs in so many toxic texts at least, and its share of them is so many times its share of clean ones.
-LEAST_TEXTS, LEAST_RATIO = 4, 12.0
+#: A learned entry explains so many toxic texts (and this part of them) that no better entry does, at least, and its share
+#: of toxic texts is so many times its share of clean ones.
+LEAST_TEXTS, LEAST_PART, LEAST_RATIO = 4, 0.004, 40.0
+#: In the second round an entry explains this part of toxic texts.
+SECOND_PART, CLEAN_COST = 0.02, 10.0
 STEMS = range(4, 9)
 
 # Word lists of the grammar.
@@ -128,55 +131,82 @@ class Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame, toxic_texts: int = TOXIC_TEXTS, clean_texts: int = CLEAN_TEXTS) -> DataFrame:
-    """toxic and text of a bounded sample of labelled rows, chosen by a hash of doc_id within each label."""
+    """toxic and text of a bounded sample of labelled rows, chosen by a hash of doc_id within each label; each text once."""
     known = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     chosen = [
         known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id", F.lit("toxic")), "doc_id").limit(most)
         for label, most in ((1, toxic_texts), (0, clean_texts))
     ]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text is not null")
-    return texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").select("toxic", "text")  # at most toxic_texts + clean_texts rows
-
-
-def _entries(rows: DataFrame) -> tuple[list[tuple[str, int, int]], int, int]:
-    """Words ("=word") and stems with the number of toxic and clean texts that hold them; and the number of texts."""
+    # At most toxic_texts + clean_texts rows are broadcast.
+    return texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
+
+
+def _keys(text: str) -> set[str]:
+    """Words ("=word") and stems of a text."""
+    words = set(_WORD.findall(text.lower()))
+    return {f"={w}" for w in words} | {w[:n] for w in words for n in STEMS if len(w) >= n}
+
+
+def _cover(lists: list[list[str]], cost: dict[str, float], least: int, without: set[str]) -> set[str]:
+    """Entries by how many lists they explain beyond those taken before them, less their cost; ``least`` at least."""
+    texts = {i: set(keys) - without for i, keys in enumerate(lists)}
+    holders: dict[str, set[int]] = {}
+    for i, keys in texts.items():
+        for key in keys:
+            holders.setdefault(key, set()).add(i)
+    taken: set[str] = set()
+    while holders and len(taken) < MOST_ENTRIES:
+        best = max(holders, key=lambda k: (len(holders[k]) - cost[k], k[0] == "=", len(k), k))
+        if len(holders[best]) < least:
+            break
+        taken.add(best)
+        for i in holders.pop(best).copy():
+            for key in texts.pop(i):
+                holders.get(key, set()).discard(i)
+    return taken
+
+
+def lexicon(rows: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
+    """Words and stems that mark toxic texts in ``rows`` (toxic, text), a bounded sample.
+
+    Of all entries over the ratio, the one that explains most texts is taken first (of equals, a word before a stem, and a
+    longer one), then the one that explains most of the rest; a clean text counts against an entry as CLEAN_COST toxic ones
+    of a balanced sample. Words that only come along in copies of a toxic text explain little more and stay out. A second
+    round without the entries taken finds those that mostly occur beside them.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         toxic, clean = Counter(), Counter()
         for label, text in rows_of(batches):
-            words = set(_WORD.findall(text.lower()))
-            keys = {f"={w}" for w in words}
-            keys.update(w[:n] for w in words for n in STEMS if len(w) >= n)
-            (toxic if label else clean).update(keys)
+            (toxic if label else clean).update(_keys(text))
             (toxic if label else clean)[""] += 1
-        for key in toxic:
-            yield key, toxic[key], 0
-        for key in clean:
-            yield key, 0, clean[key]
+        for key in toxic.keys() | clean.keys():
+            yield key, toxic[key], clean[key]
 
     schema = pa.schema([("key", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
     counted = rows.select("toxic", "text").mapInArrow(lambda b: packed(count(b), schema), "key string, toxic long, clean long")
-    sums = counted.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter(F.col("toxic") >= LEAST_TEXTS)
-    share = F.col("toxic") / (F.col("clean") + 0.5)
-    found = sums.withColumn("share", F.when(F.col("key") == "", F.lit(1e12)).otherwise(share)).orderBy(F.desc("share"), F.desc("toxic"), "key").limit(20 * MOST_ENTRIES).collect()
-    total = next(((r["toxic"], r["clean"]) for r in found if r["key"] == ""), (0, 0))
-    return [(r["key"], r["toxic"], r["clean"]) for r in found if r["key"]], *total
-
-
-def lexicon(entries: list[tuple[str, int, int]], toxic: int, clean: int) -> tuple[frozenset[str], frozenset[str]]:
-    """Words and stems over the ratio; a stem goes if a shorter one is in, a word if a stem covers it."""
-    if not toxic or not clean:
+    sums = counted.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    total = sums.filter("key = ''").first()
+    if total is None or not total["toxic"] or not total["clean"]:
         return frozenset(), frozenset()
-    good = {k: t for k, t, c in entries if (t / toxic) / ((c + 0.5) / clean) >= LEAST_RATIO}
-    stems: set[str] = set()
-    for key in sorted((k for k in good if k[0] != "="), key=lambda k: (len(k), k)):
-        if not any(key[:n] in stems for n in STEMS):
-            stems.add(key)
-    # A stem that stands for one word only says no more than the word.
-    stems = {s for s in stems if good.get(f"={s}") != good[s]}
-    words = {k[1:] for k in good if k[0] == "=" and not any(k[1 : n + 1] in stems for n in STEMS)}
-    ranked = sorted([(-good[s], s) for s in stems] + [(-good[f"={w}"], f"={w}") for w in words])[:MOST_ENTRIES]
-    return frozenset(k[1:] for _, k in ranked if k[0] == "="), frozenset(k for _, k in ranked if k[0] != "=")
+    ratio = (F.col("toxic") / total["toxic"]) / ((F.col("clean") + 0.5) / total["clean"])
+    least = max(LEAST_TEXTS, int(LEAST_PART * total["toxic"]))
+    good = sums.filter((F.col("key") != "") & (F.col("toxic") >= least) & (ratio >= LEAST_RATIO))
+    ordered = good.orderBy(F.desc("toxic"), F.desc(F.length("key")), "key").limit(20 * MOST_ENTRIES)
+    cost = {r["key"]: CLEAN_COST * r["clean"] * total["toxic"] / total["clean"] for r in ordered.collect()}
+    entries = frozenset(cost)
+
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for label, text in rows_of(batches):
+            if label:
+                yield (sorted(_keys(text) & entries),)
+
+    lists = rows.select("toxic", "text").mapInArrow(lambda b: packed(explain(b), pa.schema([("keys", pa.list_(pa.string()))])), "keys array<string>")
+    lists = sorted(r["keys"] for r in lists.collect())
+    taken = _cover(lists, cost, least, set())
+    taken |= _cover(lists, cost, max(least, int(SECOND_PART * total["toxic"])), taken)
+    return frozenset(k[1:] for k in taken if k[0] == "="), frozenset(k for k in taken if k[0] != "=")
 
 
 def fit(counts: np.ndarray, toxic: np.ndarray, pull: float = 1.0, steps: int = 300) -> tuple[float, np.ndarray]:
@@ -196,9 +226,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
     Without labels of both kinds the fixed lists and set weights stand alone.
     """
-    rows = sample(docs, labels)
-    entries, toxic, clean = _entries(rows)
-    words, stems = lexicon(entries, toxic, clean)
+    rows = stored(sample(docs, labels), "toxic-sample")
+    words, stems = lexicon(rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         symbols = Symbols(words, stems)
@@ -208,7 +237,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     schema = pa.schema([("toxic", pa.int32()), ("marks", pa.list_(pa.int32()))])
     found = rows.select(F.col("toxic").cast("int"), "text").mapInArrow(lambda b: packed(count(b), schema), "toxic int, marks array<int>").collect()
     found.sort(key=lambda r: (r["toxic"], r["marks"]))
-    if not toxic or not clean:
+    if len({r["toxic"] for r in found}) < 2:
         return Model(words, stems, BASE, WEIGHTS)
     base, weights = fit(np.array([r["marks"] for r in found], float), np.array([r["toxic"] for r in found], float))
     return Model(words, stems, base, weights)
