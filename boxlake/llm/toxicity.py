@@ -149,8 +149,13 @@ def _keys(text: str) -> set[str]:
 
 
 def _cover(lists: list[list[str]], cost: dict[str, float], least: int, without: set[str]) -> set[str]:
-    """Entries by how many lists they explain beyond those taken before them, less their cost; ``least`` at least."""
-    texts = {i: set(keys) - without for i, keys in enumerate(lists)}
+    """Entries by how many lists they explain beyond those taken before them, less their cost; ``least`` at least.
+
+    Entries that begin those in ``without``, or begin with them, are left out.
+    """
+    bare = tuple({t.removeprefix("=") for t in without})
+    akin = {k: k.removeprefix("=").startswith(bare) or any(b.startswith(k.removeprefix("=")) for b in bare) for k in cost}
+    texts = {i: {k for k in keys if not akin[k]} for i, keys in enumerate(lists)}
     holders: dict[str, set[int]] = {}
     for i, keys in texts.items():
         for key in keys:
