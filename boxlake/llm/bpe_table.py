@@ -1,9 +1,9 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Each block of documents (about a million words) is split once and kept as numbers into the block's own list
-of words. Those lists, cut into buckets by a word's hash, are the only words that move: every bucket holds each
-of its words once, encodes it once, and answers each block's list with ids by position. Blocks and answers meet
-in a cogroup on the block; ids become pieces through the id-to-piece table, whose size is the vocabulary's.
+Each block of documents (about two million words) is split once and kept as numbers into the block's own list of
+words, frequent words first. Those lists, cut into buckets by a word's hash, are the only words that move: every bucket
+holds each of its words once, encodes it once, and answers each block's list with ids by position. Blocks and answers
+meet in a cogroup on the block; ids become pieces through the id-to-piece table, whose size is the vocabulary's.
 
 Nothing grows with a frequent word or a large source: a word occurs once in a block's list, and documents are
 spread by block. Blocks are written to the shared folder before they are read by two sides, so that a lost
@@ -25,10 +25,15 @@ from pyspark.taskcontext import TaskContext
 from boxlake.llm import word_bpe
 from boxlake.llm.common import packed, rows_of, stored
 
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 2_000_000
+#: Texts, and about so many words, whose numbers are kept in one row.
+ROW_TEXTS, ROW_WORDS = 256, 100_000
 
-_BLOCKS = "block long, bucket int, doc_id long, words binary, codes binary"
-_BLOCKS_ARROW = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("words", pa.binary()), ("codes", pa.binary())])
+_BLOCKS = "block long, bucket int, doc_ids array<long>, lengths binary, words binary, codes binary"
+_BLOCKS_ARROW = pa.schema([
+    ("block", pa.int64()), ("bucket", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
+    ("lengths", pa.binary()), ("words", pa.binary()), ("codes", pa.binary()),
+])
 _ANSWERS_ARROW = pa.schema([("block", pa.int64()), ("codes", pa.binary()), ("lengths", pa.binary()), ("ids", pa.binary())])
 _RESULT = "doc_id long, ids array<int>, decoded string"
 _RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
@@ -48,27 +53,37 @@ def _open(pressed: bytes) -> np.ndarray:
 def _split(content: str, buckets: int, block_words: int):
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         words_of = word_bpe.tokenizer(content).words
-        base = TaskContext.get().partitionId() << 32
-        block, codes, size = base, word_bpe.Codes(), 0
+        block, codes, size, held = TaskContext.get().partitionId() << 32, word_bpe.Codes(), 0, []
         for doc_id, text in rows_of(batches):
             numbers = codes.array(words_of(text))
-            yield block, -1, doc_id, None, _press(numbers)
+            held.append((doc_id, numbers))
             size += len(numbers)
             if size >= block_words:
-                yield from lists(block, codes)
-                block, codes, size = block + 1, word_bpe.Codes(), 0
-        yield from lists(block, codes)
+                yield from closed(block, codes, held)
+                block, codes, size, held = block + 1, word_bpe.Codes(), 0, []
+        if held:
+            yield from closed(block, codes, held)
 
-    def lists(block: int, codes: dict[str, int]) -> Iterator[tuple]:
+    def closed(block: int, codes: dict[str, int], held: list[tuple]) -> Iterator[tuple]:
         words = list(codes)
-        of = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int32, len(words))
-        order = np.argsort(of, kind="stable")
-        cuts = np.searchsorted(of[order], np.arange(buckets + 1))
-        for bucket in range(buckets):
-            mine = order[cuts[bucket] : cuts[bucket + 1]]
-            if len(mine):
-                text = "\n".join([words[i] for i in mine]).encode()
-                yield block, bucket, None, zstandard.ZstdCompressor(level=1).compress(text), _press(mine.astype(np.int32))
+        counts = np.bincount(np.concatenate([n for _, n in held]), minlength=len(words))
+        order = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(words), np.int32)
+        rank[order] = np.arange(len(words))
+        some: list[tuple] = []
+        for i, row in enumerate(held):
+            some.append(row)
+            if i + 1 == len(held) or len(some) == ROW_TEXTS or sum(len(n) for _, n in some) >= ROW_WORDS:
+                lengths = np.fromiter((len(n) for _, n in some), np.int32, len(some))
+                yield block, -1, [d for d, _ in some], lengths.tobytes(), None, _press(rank[np.concatenate([n for _, n in some])])
+                some = []
+        of = np.fromiter((zlib.crc32(words[i].encode()) % buckets for i in order), np.int32, len(words))
+        dealt = np.argsort(of, kind="stable")
+        cuts = np.flatnonzero(np.diff(of[dealt], prepend=-1))
+        for mine in np.split(dealt, cuts[1:]) if words else []:
+            bucket = int(of[mine[0]])
+            text = "\n".join([words[order[i]] for i in mine]).encode()
+            yield block, bucket, None, None, zstandard.ZstdCompressor(level=3).compress(text), _press(np.diff(mine, prepend=0).astype(np.int32))
 
     return lambda batches: packed(blocks(batches), _BLOCKS_ARROW)
 
@@ -90,21 +105,26 @@ def _encode(content: str):
 def _join(content: str):
     def joined(documents: pa.Table, answers: pa.Table) -> pa.Table:
         pieces = word_bpe.tokenizer(content).pieces
-        found = [[_open(v) for v in column.to_pylist()] for column in answers.select(["codes", "lengths", "ids"]).columns]
-        codes, lengths, flat = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in found)
-        begin = np.concatenate([[0], np.cumsum(lengths)])
+        empty = [np.zeros(0, np.int32)]
+        codes = np.concatenate([np.cumsum(_open(v)) for v in answers["codes"].to_pylist()] or empty)
+        lengths = np.concatenate([_open(v) for v in answers["lengths"].to_pylist()] or empty)
+        flat = np.concatenate([_open(v) for v in answers["ids"].to_pylist()] or empty)
         order = np.argsort(codes)
         if not np.array_equal(codes[order], np.arange(len(codes))):
             raise RuntimeError("a block and the answers to its list of words do not belong together")
-        flat = word_bpe.gather(begin, flat, order)
+        flat = word_bpe.gather(np.concatenate([[0], np.cumsum(lengths)]), flat, order)
         starts = np.concatenate([[0], np.cumsum(lengths[order])])
         texts = [" ".join([pieces[i] for i in flat[a:b].tolist()]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
-        batches = packed(
-            ((doc_id, word_bpe.gather(starts, flat, c := _open(pressed)), " ".join([texts[i] for i in c.tolist() if texts[i]]))
-             for doc_id, pressed in zip(documents["doc_id"].to_pylist(), documents["codes"].to_pylist(), strict=True)),
-            _RESULT_ARROW,
-        )
-        return pa.Table.from_batches(batches, _RESULT_ARROW)
+
+        def results() -> Iterator[tuple]:
+            for doc_ids, sizes, pressed in zip(*(documents[c].to_pylist() for c in ("doc_ids", "lengths", "codes")), strict=True):
+                numbers, at = _open(pressed), 0
+                for doc_id, size in zip(doc_ids, np.frombuffer(sizes, np.int32).tolist(), strict=True):
+                    mine = numbers[at : at + size]
+                    at += size
+                    yield doc_id, word_bpe.gather(starts, flat, mine), " ".join([texts[i] for i in mine.tolist()])
+
+        return pa.Table.from_batches(packed(results(), _RESULT_ARROW), _RESULT_ARROW)
 
     return joined
 
@@ -126,5 +146,5 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str | None = None, bucket
         lists.select("bucket", "block", "words", "codes").repartition(buckets, "bucket").select("block", "words", "codes")
         .mapInArrow(_encode(content), "block long, codes binary, lengths binary, ids binary")
     )
-    documents = blocks.filter("bucket < 0").select("block", "doc_id", "codes")
+    documents = blocks.filter("bucket < 0").select("block", "doc_ids", "lengths", "codes")
     return documents.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_join(content), _RESULT)
