@@ -1,6 +1,6 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Each block of documents (about two million words) is split once and kept as numbers into the block's own list of
+Each block of documents (about two and a half million words) is split once and kept as numbers into the block's own list of
 words, frequent words first. Those lists, cut into buckets by a word's hash, are the only words that move: every bucket
 holds each of its words once, encodes it once, and answers each block's list with ids by position. Blocks and answers
 meet in a cogroup on the block; ids become pieces through the id-to-piece table, whose size is the vocabulary's.
@@ -25,7 +25,7 @@ from pyspark.taskcontext import TaskContext
 from boxlake.llm import word_bpe
 from boxlake.llm.common import packed, rows_of, stored
 
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 2_500_000
 #: Texts, and about so many words, whose numbers are kept in one row.
 ROW_TEXTS, ROW_WORDS = 256, 100_000
 
@@ -42,7 +42,7 @@ _RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))
 def _press(numbers: np.ndarray) -> bytes:
     """int32 numbers, byte planes apart, compressed."""
     planes = np.ascontiguousarray(numbers, "<i4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def _open(pressed: bytes) -> np.ndarray:
@@ -83,7 +83,7 @@ def _split(content: str, buckets: int, block_words: int):
         for mine in np.split(dealt, cuts[1:]) if words else []:
             bucket = int(of[mine[0]])
             text = "\n".join([words[order[i]] for i in mine]).encode()
-            yield block, bucket, None, None, zstandard.ZstdCompressor(level=3).compress(text), _press(np.diff(mine, prepend=0).astype(np.int32))
+            yield block, bucket, None, None, zstandard.ZstdCompressor(level=9).compress(text), _press(np.diff(mine, prepend=0).astype(np.int32))
 
     return lambda batches: packed(blocks(batches), _BLOCKS_ARROW)
 
