@@ -2,16 +2,19 @@
 
 1. Every text becomes a set of shingle hashes, seen only inside a task. Equal sets are one class. A sketch of fixed
    size counts shingles over all texts; it orders them from rare to frequent.
-2. Classes are partitioned into groups of similar texts: those that share a MinHash key are compared with the leaders of
-   bounded chunks, then the chunks' leaders with each other. Links found here make groups that are connected already.
+2. Classes are partitioned into groups of similar texts: of its MinHash keys each class takes the one that most share, and
+   the classes of a key are a group. Members are compared with the leaders of bounded chunks, then the chunks' leaders with
+   each other; most groups of copies are connected by then.
 3. The matrix holds, for every group, the tokens in its members' prefixes. A prefix is the rarest tokens of a set, so many
-   that two sets over the threshold must share one. A set whose prefix meets another group's tokens is a query to it.
-4. Queries meet the members of their groups in chunks. A chunk's token union bounds the overlap that any member can have;
-   only chunks that pass the bound are opened, and a member over the threshold links the two groups.
-
-Step 4 leaves no pair of groups out, so components are exact whatever step 2 has found. A large family of copies is one
-group: its common tokens stand once in the matrix, and its members are not compared pair by pair. Frequent tokens come
-last in every set and so are rarely in a prefix.
+   that two sets over the threshold must share one. How many of a set's prefix tokens a group holds bounds the overlap with
+   any member; where the bound can reach the threshold, the set is a query to the group. So is every member of a group that
+   is not connected yet, to its own group.
+4. Queries meet the members of their groups in chunks. A chunk's token union bounds the overlap again; only chunks that pass
+   are opened, and members over the threshold link their components to the query's.
+
+Steps 3 and 4 leave no pair of components out, so the result is exact whatever step 2 has found. A large family of copies
+is one group: its common tokens stand once in the matrix, and a connected family is not compared again. Frequent tokens
+come last in every set and so are rarely in a prefix.
 """
 
 from __future__ import annotations
@@ -32,9 +35,9 @@ from boxlake.llm.shingles import mix, shingle_sets
 #: The sketch has 2 to the SKETCH_BITS counters, dealt out in 2 to the SLICE_BITS slices.
 SKETCH_BITS, SLICE_BITS = 22, 6
 #: Grouping keys of each set, and MinHashes in each key.
-KEYS, ROWS = 2, 2
+KEYS, ROWS = 4, 2
 #: Members of a chunk, on average; rows of ids that are broadcast at most.
-CHUNK, MOST_IDS = 128, 1_000_000
+CHUNK, MOST_IDS = 256, 1_000_000
 _SMALL = 256  # texts that are hashed together
 
 
@@ -49,6 +52,10 @@ class Rule:
         """Tokens that a set of this size shares with any set it is linked to, at least."""
         return -(-self.percent * size // 100)
 
+    def overlap(self, a, b):
+        """Tokens that linked sets of these sizes share, at least."""
+        return -(-self.percent * (a + b) // (100 + self.percent))
+
     def linked(self, shared, a, b):
         return 100 * shared >= self.percent * (a + b - shared)
 
@@ -169,15 +176,22 @@ def _group_chunks(rule: Rule):
 
 
 def _chunked(members: DataFrame) -> DataFrame:
-    """doc_id, key, chunk and number of chunks for ``members`` (doc_id, key), of keys that several have."""
-    sizes = members.groupBy("key").count().filter("count > 1").select("key", F.ceil(F.col("count") / CHUNK).cast("long").alias("chunks"))
+    """``members`` (doc_id, key) of keys that several have, with the number of members, of chunks, and a chunk."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    sizes = sizes.withColumn("chunks", F.ceil(F.col("members") / CHUNK).cast("long"))
     return members.join(sizes, "key").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")))
 
 
-def _similar_groups(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """Links a, b between similar classes that share a key: by chunk, then between the chunks' leaders."""
-    members = _chunked(classes.select("doc_id", F.explode("keys").alias("key")))
-    roles = members.groupBy("doc_id").agg(F.collect_list(F.struct("key", "chunk", "chunks")).alias("roles"))  # KEYS at most
+def _groups(classes: DataFrame) -> DataFrame:
+    """doc_id, key, members, chunks and chunk of every class that shares its most shared key."""
+    keyed = classes.select("doc_id", F.explode("keys").alias("key")).distinct()
+    shared = _chunked(keyed).groupBy("doc_id").agg(F.max(F.struct("members", "key")).alias("most"))
+    return _chunked(shared.select("doc_id", F.col("most.key").alias("key")))
+
+
+def _similar_links(docs: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
+    """Links a, b inside groups: to a leader of the chunk, then between the chunks' leaders."""
+    roles = groups.select("doc_id", F.array(F.struct("key", "chunk", "chunks")).alias("roles"))
     first = _with_sets(docs, stored(roles, "join-keys"), rule.n)
     out = "a long, b long, key long, set binary"
     dealt = first.select("doc_id", "set", "key", "chunk", "chunks").repartition("key", "chunk").sortWithinPartitions("key", "chunk")
@@ -209,52 +223,78 @@ def _prefixes(docs: DataFrame, ranks: np.ndarray, rule: Rule) -> DataFrame:
 
 
 def _open_groups(rule: Rule):
-    """Links of queries to members of the chunks whose token union they overlap enough."""
+    """Links of queries to the components that have members over the threshold in a chunk whose union allows it."""
 
     def open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for _, rows in grouped(((g, c, q, d, s) for d, s, g, c, q in rows_of(batches)), 2):
-            members = [(d, np.frombuffer(s, np.int64)) for _, _, q, d, s in rows if not q]
+        for _, rows in grouped(((g, c, q, d, s, k) for d, s, g, c, q, k in rows_of(batches)), 2):
+            members = [(d, np.frombuffer(s, np.int64), k) for _, _, q, d, s, k in rows if not q]
             if not members or len(members) == len(rows):
                 continue
-            sizes = np.array([len(s) for _, s in members])
-            tokens = np.concatenate([s for _, s in members])
+            sizes, component = np.array([len(s) for _, s, _ in members]), np.array([k for _, _, k in members])
+            tokens = np.concatenate([s for _, s, _ in members])
             union, starts = np.unique(tokens), np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            for _, _, query, doc_id, held in rows:
+            for _, _, query, doc_id, held, own in rows:
                 mine = np.frombuffer(held, np.int64)
                 if not query or _shared(mine, union) < rule.needed(len(mine)):
                     continue
                 at = np.searchsorted(mine, tokens)
                 at[at == len(mine)] = 0
                 shared = np.add.reduceat((mine[at] == tokens).astype(np.int64), starts)
-                for m in np.flatnonzero(rule.linked(shared, len(mine), sizes))[:1]:
-                    yield doc_id, members[m][0]  # the members are connected: one link joins them all
+                over = np.flatnonzero(rule.linked(shared, len(mine), sizes) & (component != own))
+                for m in over[np.unique(component[over], return_index=True)[1]]:
+                    yield doc_id, members[m][0]
 
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     return lambda batches: packed(open_groups(batches), schema)
 
 
-def _links_between_groups(docs: DataFrame, classes: DataFrame, groups: DataFrame, ranks: np.ndarray, rule: Rule) -> DataFrame:
-    """Links a, b between classes of different groups, at least one for every two groups that are linked."""
-    sizes = groups.groupBy("component").count()
+def _queries(docs: DataFrame, named: DataFrame, ranks: np.ndarray, rule: Rule) -> DataFrame:
+    """doc_id, comp, and the other groups (g, chunks) in which the matrix allows a link."""
+    prefixes = _prefixes(docs, ranks, rule).join(named, "doc_id")  # one text of each class
+    cells = prefixes.select(F.explode("prefix").alias("token"), "doc_id", "n", "g", "members", "comp", "whole").repartition("token")
+    matrix = cells.groupBy("token", "g").agg(
+        F.first("members").alias("members"), F.first("whole").alias("whole"), F.min("n").alias("low"), F.max("n").alias("high")
+    )
+    q, r = cells.alias("q"), matrix.alias("r")
+    met = q.join(
+        r,
+        (F.col("q.token") == F.col("r.token"))
+        & (F.struct("q.members", "q.g") < F.struct("r.members", "r.g"))  # the smaller group asks the larger one
+        & (F.col("r.whole").isNull() | (F.col("r.whole") != F.col("q.comp")))
+        & (rule.percent * F.col("q.n") <= 100 * F.col("r.high")) & (rule.percent * F.col("r.low") <= 100 * F.col("q.n")),
+    )
+    asked = met.groupBy("q.doc_id", "q.n", "r.g").agg(
+        F.first("q.comp").alias("comp"), F.first("r.members").alias("members"),
+        F.count("*").alias("held"), F.min("r.low").alias("low"), F.max("r.high").alias("high"),
+    )
+    # Common tokens that are not in both prefixes are fewer than the larger set needs. The least that must be in both is
+    # reached at the smallest or largest size that a linked member can have, or, by rounding, one below.
+    need = lambda m: f"(ceil({rule.percent} * (n + {m}) / {100 + rule.percent}) - ceil({rule.percent} * greatest(n, {m}) / 100) + 1)"
+    low, high = f"greatest(low, ceil({rule.percent} * n / 100))", f"least(high, floor(100 * n / {rule.percent}))"
+    return asked.filter(f"held >= least({need(low)}, {need(high)}) - 1").select("doc_id", "comp", "g", F.ceil(F.col("members") / CHUNK).cast("long").alias("chunks"))
+
+
+def _links_between(docs: DataFrame, classes: DataFrame, groups: DataFrame, components: DataFrame, ranks: np.ndarray, rule: Rule) -> DataFrame:
+    """Links a, b between classes of different components, at least one for every two that are linked."""
     named = (
-        classes.select("doc_id").distinct().join(groups.join(sizes, "component").withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("doc_id", F.coalesce("component", "doc_id").alias("g"), F.coalesce("count", F.lit(1)).alias("members"))
+        classes.select("doc_id").distinct().join(groups, "doc_id", "left").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .select("doc_id", F.coalesce("key", "doc_id").alias("g"), F.coalesce("members", F.lit(1)).alias("members"),
+                F.coalesce("chunks", F.lit(1)).alias("chunks"), F.coalesce("chunk", F.lit(0)).alias("chunk"), F.coalesce("component", "doc_id").alias("comp"))
     )
-    named = stored(named, "join-named")
-    prefixes = _prefixes(docs, ranks, rule).join(named, "doc_id")  # one text of each class
-    matrix = prefixes.select(F.explode("prefix").alias("token"), "doc_id", "n", "g", "members")
-    q, r = matrix.alias("q"), matrix.alias("r")
-    smaller = F.struct("q.members", "q.g") < F.struct("r.members", "r.g")
-    near = (100 * F.least("q.n", "r.n")) >= (rule.percent * F.greatest("q.n", "r.n"))
-    opened = q.join(r, (F.col("q.token") == F.col("r.token")) & smaller & near)
-    opened = stored(opened.select(F.col("q.doc_id").alias("doc_id"), F.col("r.g").alias("g"), F.col("r.members").alias("members")).distinct(), "join-opened")
-
-    targets = opened.select("g", F.ceil(F.col("members") / CHUNK).cast("long").alias("chunks")).distinct()
-    members = named.join(targets, "g").select("doc_id", "g", F.pmod(F.xxhash64("doc_id"), "chunks").alias("chunk"), F.lit(0).cast("long").alias("query"))
-    asked = opened.select("doc_id", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("members") / CHUNK).cast("long") - 1)).alias("chunk"), F.lit(1).cast("long").alias("query"))
-    roles = members.unionByName(asked).groupBy("doc_id").agg(F.collect_list(F.struct("g", "chunk", "query")).alias("roles"))
+    ends = named.groupBy("g").agg(F.min("comp").alias("first"), F.max("comp").alias("last"))
+    whole = F.when(F.col("first") == F.col("last"), F.col("first")).alias("whole")  # the component of a connected group
+    named = stored(named.join(ends.select("g", whole), "g"), "join-named")
+
+    asked = stored(_queries(docs, named, ranks, rule), "join-asked")
+    inside = named.filter("whole is null")
+    targets = asked.select("g").union(inside.select("g")).distinct()
+    members = named.join(targets, "g").select("doc_id", "g", "chunk", F.lit(0).cast("long").alias("query"), "comp")
+    number = lambda start: F.explode(F.sequence(start, F.col("chunks") - 1)).alias("chunk")
+    one = F.lit(1).cast("long").alias("query")
+    queries = asked.select("doc_id", "g", number(F.lit(0).cast("long")), one, "comp").union(inside.select("doc_id", "g", number(F.col("chunk").cast("long")), one, "comp"))
+    roles = members.unionByName(queries).groupBy("doc_id").agg(F.collect_list(F.struct("g", "chunk", "query", "comp")).alias("roles"))
     sets = _with_sets(docs, stored(roles, "join-roles"), rule.n)
-    dealt = sets.select("doc_id", "set", "g", "chunk", "query").repartition("g", "chunk").sortWithinPartitions("g", "chunk")
+    dealt = sets.select("doc_id", "set", "g", "chunk", "query", "comp").repartition("g", "chunk").sortWithinPartitions("g", "chunk")
     return dealt.mapInArrow(_open_groups(rule), "a long, b long")
 
 
@@ -276,10 +316,11 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     copies = full.join(classes.select("f1", "f2", F.col("doc_id").alias("class")), ["f1", "f2"]).select("doc_id", "class")
     copies = stored(copies.distinct(), "join-copies")
 
-    found = stored(_similar_groups(known, classes, rule), "join-links")
+    groups = stored(_groups(classes), "join-groups")
+    found = stored(_similar_links(known, groups, rule), "join-links")
     same = copies.filter("doc_id <> class").select(F.col("class").alias("a"), F.col("doc_id").alias("b"))
-    groups = connected_components(found, "join-components")
-    between = stored(_links_between_groups(known, classes, groups, _ranks(written), rule), "join-between")
+    components = connected_components(found, "join-components")
+    between = stored(_links_between(known, classes, groups, components, _ranks(written), rule), "join-between")
     reached = connected_components(found.union(between).union(same), "join-components")
     named = signed.select("doc_id", F.col("n").alias("n_shingles")).join(reached.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return named.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
