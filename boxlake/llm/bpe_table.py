@@ -1,8 +1,8 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Each block of documents (about two and a half million words) is split once and kept as numbers into the block's own list of
-words, frequent words first. Those lists, cut into buckets by a word's hash, are the only words that move: every bucket
-holds each of its words once, encodes it once, and answers each block's list with ids by position. Blocks and answers
+Each block of documents (up to about five million words) is split once and kept as numbers into the block's own list of
+words, frequent words first. Those lists, cut into buckets by a word's hash and sorted, are the only words that move:
+every bucket holds each of its words once, encodes it once, and answers each block's list with ids by position. Blocks and answers
 meet in a cogroup on the block; ids become pieces through the id-to-piece table, whose size is the vocabulary's.
 
 Nothing grows with a frequent word or a large source: a word occurs once in a block's list, and documents are
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.taskcontext import TaskContext
 from boxlake.llm import word_bpe
 from boxlake.llm.common import packed, rows_of, stored
 
-BLOCK_WORDS = 2_500_000
+BLOCK_WORDS = 5_000_000
 #: Texts, and about so many words, whose numbers are kept in one row.
 ROW_TEXTS, ROW_WORDS = 256, 100_000
 
@@ -34,7 +35,7 @@ _BLOCKS_ARROW = pa.schema([
     ("block", pa.int64()), ("bucket", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
     ("lengths", pa.binary()), ("words", pa.binary()), ("codes", pa.binary()),
 ])
-_ANSWERS_ARROW = pa.schema([("block", pa.int64()), ("codes", pa.binary()), ("lengths", pa.binary()), ("ids", pa.binary())])
+_ANSWERS_ARROW = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("lengths", pa.binary()), ("ids", pa.binary())])
 _RESULT = "doc_id long, ids array<int>, decoded string"
 _RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
@@ -70,6 +71,9 @@ def _split(content: str, buckets: int, block_words: int):
         order = np.argsort(-counts, kind="stable")
         rank = np.empty(len(words), np.int32)
         rank[order] = np.arange(len(words))
+        of = [zlib.crc32(w.encode()) % buckets for w in words]
+        dealt = sorted(range(len(words)), key=lambda i: (of[i], words[i]))
+        yield block, -1, [], b"", _press(rank[dealt]), _press(np.zeros(0, np.int32))
         some: list[tuple] = []
         for i, row in enumerate(held):
             some.append(row)
@@ -77,13 +81,9 @@ def _split(content: str, buckets: int, block_words: int):
                 lengths = np.fromiter((len(n) for _, n in some), np.int32, len(some))
                 yield block, -1, [d for d, _ in some], lengths.tobytes(), None, _press(rank[np.concatenate([n for _, n in some])])
                 some = []
-        of = np.fromiter((zlib.crc32(words[i].encode()) % buckets for i in order), np.int32, len(words))
-        dealt = np.argsort(of, kind="stable")
-        cuts = np.flatnonzero(np.diff(of[dealt], prepend=-1))
-        for mine in np.split(dealt, cuts[1:]) if words else []:
-            bucket = int(of[mine[0]])
-            text = "\n".join([words[order[i]] for i in mine]).encode()
-            yield block, bucket, None, None, zstandard.ZstdCompressor(level=9).compress(text), _press(np.diff(mine, prepend=0).astype(np.int32))
+        for bucket, mine in groupby(dealt, key=of.__getitem__):
+            text = "\n".join([words[i] for i in mine]).encode()
+            yield block, bucket, None, None, zstandard.ZstdCompressor(level=9).compress(text), None
 
     return lambda batches: packed(blocks(batches), _BLOCKS_ARROW)
 
@@ -91,13 +91,13 @@ def _split(content: str, buckets: int, block_words: int):
 def _encode(content: str):
     def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         tokens, known = word_bpe.tokenizer(content), {}
-        for block, pressed, codes in rows_of(batches):
+        for bucket, block, pressed in rows_of(batches):
             words = zstandard.ZstdDecompressor().decompress(pressed).decode().split("\n")
             new = [w for w in words if w not in known]
             known.update(zip(new, (np.array(i, np.int32).tobytes() for i in tokens.ids(new)), strict=True))
             ids = [known[w] for w in words]
             lengths = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
-            yield block, codes, _press(lengths), _press(np.frombuffer(b"".join(ids), np.int32))
+            yield block, bucket, _press(lengths), _press(np.frombuffer(b"".join(ids), np.int32))
 
     return lambda batches: packed(answers(batches), _ANSWERS_ARROW)
 
@@ -106,12 +106,13 @@ def _join(content: str):
     def joined(documents: pa.Table, answers: pa.Table) -> pa.Table:
         pieces = word_bpe.tokenizer(content).pieces
         empty = [np.zeros(0, np.int32)]
-        codes = np.concatenate([np.cumsum(_open(v)) for v in answers["codes"].to_pylist()] or empty)
+        answers = answers.sort_by("bucket")
+        ranks = np.concatenate([_open(v) for v in documents["words"].to_pylist() if v is not None] or empty)
         lengths = np.concatenate([_open(v) for v in answers["lengths"].to_pylist()] or empty)
         flat = np.concatenate([_open(v) for v in answers["ids"].to_pylist()] or empty)
-        order = np.argsort(codes)
-        if not np.array_equal(codes[order], np.arange(len(codes))):
-            raise RuntimeError("a block and the answers to its list of words do not belong together")
+        if len(ranks) != len(lengths):
+            raise RuntimeError("a block and the answers to its lists of words do not belong together")
+        order = np.argsort(ranks)
         flat = word_bpe.gather(np.concatenate([[0], np.cumsum(lengths)]), flat, order)
         starts = np.concatenate([[0], np.cumsum(lengths[order])])
         texts = [" ".join([pieces[i] for i in flat[a:b].tolist()]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
@@ -143,8 +144,8 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str | None = None, bucket
     blocks = stored(given.mapInArrow(_split(content, buckets, block_words), _BLOCKS), "bpe-blocks")
     lists = blocks.filter("bucket >= 0")
     answers = (
-        lists.select("bucket", "block", "words", "codes").repartition(buckets, "bucket").select("block", "words", "codes")
-        .mapInArrow(_encode(content), "block long, codes binary, lengths binary, ids binary")
+        lists.select("bucket", "block", "words").repartition(buckets, "bucket")
+        .mapInArrow(_encode(content), "block long, bucket int, lengths binary, ids binary")
     )
-    documents = blocks.filter("bucket < 0").select("block", "doc_ids", "lengths", "codes")
+    documents = blocks.filter("bucket < 0").select("block", "doc_ids", "lengths", "words", "codes")
     return documents.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_join(content), _RESULT)
