@@ -250,28 +250,30 @@ def _open_groups(rule: Rule):
 
 def _queries(docs: DataFrame, named: DataFrame, ranks: np.ndarray, rule: Rule) -> DataFrame:
     """doc_id, comp, and the other groups (g, chunks) in which the matrix allows a link."""
-    prefixes = _prefixes(docs, ranks, rule).join(named, "doc_id")  # one text of each class
-    cells = prefixes.select(F.explode("prefix").alias("token"), "doc_id", "n", "g", "members", "comp", "whole").repartition("token")
-    matrix = cells.groupBy("token", "g").agg(
-        F.first("members").alias("members"), F.first("whole").alias("whole"), F.min("n").alias("low"), F.max("n").alias("high")
-    )
-    q, r = cells.alias("q"), matrix.alias("r")
+    prefixes = stored(_prefixes(docs, ranks, rule), "join-prefixes").join(named.hint("merge"), "doc_id")  # one text of each class
+    # One array, so that both sides of the join below need the same columns and share one exchange.
+    cells = prefixes.select(F.explode("prefix").alias("token"), F.array("doc_id", "n", "g", "members").alias("cell")).repartition("token")
+    doc_id, n, g, members = (F.col("cell")[i].alias(c) for i, c in enumerate(("doc_id", "n", "g", "members")))
+    q = cells.select("token", doc_id, n, g, members).alias("q")
+    matrix = cells.select("token", n, g, members).groupBy("token", "g").agg(F.first("members").alias("members"), F.min("n").alias("low"), F.max("n").alias("high"))
+    r = matrix.alias("r")
     met = q.join(
         r,
         (F.col("q.token") == F.col("r.token"))
         & (F.struct("q.members", "q.g") < F.struct("r.members", "r.g"))  # the smaller group asks the larger one
-        & (F.col("r.whole").isNull() | (F.col("r.whole") != F.col("q.comp")))
         & (rule.percent * F.col("q.n") <= 100 * F.col("r.high")) & (rule.percent * F.col("r.low") <= 100 * F.col("q.n")),
     )
     asked = met.groupBy("q.doc_id", "q.n", "r.g").agg(
-        F.first("q.comp").alias("comp"), F.first("r.members").alias("members"),
-        F.count("*").alias("held"), F.min("r.low").alias("low"), F.max("r.high").alias("high"),
+        F.first("r.members").alias("members"), F.count("*").alias("held"), F.min("r.low").alias("low"), F.max("r.high").alias("high"),
     )
     # Common tokens that are not in both prefixes are fewer than the larger set needs. The least that must be in both is
     # reached at the smallest or largest size that a linked member can have, or, by rounding, one below.
     need = lambda m: f"(ceil({rule.percent} * (n + {m}) / {100 + rule.percent}) - ceil({rule.percent} * greatest(n, {m}) / 100) + 1)"
     low, high = f"greatest(low, ceil({rule.percent} * n / 100))", f"least(high, floor(100 * n / {rule.percent}))"
-    return asked.filter(f"held >= least({need(low)}, {need(high)}) - 1").select("doc_id", "comp", "g", F.ceil(F.col("members") / CHUNK).cast("long").alias("chunks"))
+    allowed = asked.filter(f"held >= least({need(low)}, {need(high)}) - 1")
+    allowed = allowed.join(named.select("doc_id", "comp"), "doc_id").join(named.select("g", "whole").distinct(), "g")
+    open_ones = allowed.filter("whole is null or whole <> comp")  # else connected already
+    return open_ones.select("doc_id", "comp", "g", F.ceil(F.col("members") / CHUNK).cast("long").alias("chunks"))
 
 
 def _links_between(docs: DataFrame, classes: DataFrame, groups: DataFrame, components: DataFrame, ranks: np.ndarray, rule: Rule) -> DataFrame:
