@@ -250,9 +250,11 @@ def _open_groups(rule: Rule):
 
 def _queries(docs: DataFrame, named: DataFrame, ranks: np.ndarray, rule: Rule) -> DataFrame:
     """doc_id, comp, and the other groups (g, chunks) in which the matrix allows a link."""
-    prefixes = stored(_prefixes(docs, ranks, rule), "join-prefixes").join(named.hint("merge"), "doc_id")  # one text of each class
-    # One array, so that both sides of the join below need the same columns and share one exchange.
-    cells = prefixes.select(F.explode("prefix").alias("token"), F.array("doc_id", "n", "g", "members").alias("cell")).repartition("token")
+    prefixes = _prefixes(docs, ranks, rule).join(named.hint("merge"), "doc_id")  # one text of each class
+    # One array and no null checks on one side only, so that both sides of the join below share one exchange.
+    whole = lambda name: F.coalesce(name, F.lit(0))
+    cells = prefixes.select(F.explode("prefix").alias("token"), F.array("doc_id", "n", "g", "members").alias("cell"))
+    cells = stored(cells, "join-cells").repartition("token")
     doc_id, n, g, members = (F.col("cell")[i].alias(c) for i, c in enumerate(("doc_id", "n", "g", "members")))
     q = cells.select("token", doc_id, n, g, members).alias("q")
     matrix = cells.select("token", n, g, members).groupBy("token", "g").agg(F.first("members").alias("members"), F.min("n").alias("low"), F.max("n").alias("high"))
@@ -261,7 +263,7 @@ def _queries(docs: DataFrame, named: DataFrame, ranks: np.ndarray, rule: Rule) -
         r,
         (F.col("q.token") == F.col("r.token"))
         & (F.struct("q.members", "q.g") < F.struct("r.members", "r.g"))  # the smaller group asks the larger one
-        & (rule.percent * F.col("q.n") <= 100 * F.col("r.high")) & (rule.percent * F.col("r.low") <= 100 * F.col("q.n")),
+        & (rule.percent * whole("q.n") <= 100 * whole("r.high")) & (rule.percent * whole("r.low") <= 100 * whole("q.n")),
     )
     asked = met.groupBy("q.doc_id", "q.n", "r.g").agg(
         F.first("r.members").alias("members"), F.count("*").alias("held"), F.min("r.low").alias("low"), F.max("r.high").alias("high"),
