@@ -96,10 +96,11 @@ def stable_ids_sorted(spark, folder):
     return append_ids_sorted(known, words("documents", "text"), "member")
 
 
-@query("SELECT c_custkey AS key FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT doc_id AS key FROM documents EXCEPT SELECT doc_id FROM labels")
 def new_keys(spark, folder):
-    customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("key"))
-    return unseen_keys(customers, table(spark, folder, "orders").select(F.col("o_custkey").alias("key")), "key")
+    """Documents without a label: some have one and some have none."""
+    documents = table(spark, folder, "documents").select(F.col("doc_id").alias("key"))
+    return unseen_keys(documents, table(spark, folder, "labels").select(F.col("doc_id").alias("key")), "key")
 
 
 @query(f"SELECT file_name, row_number() OVER (ORDER BY file_name) - 1 AS place FROM (SELECT DISTINCT file_name FROM ({_FILES}))")

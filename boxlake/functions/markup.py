@@ -17,8 +17,8 @@ _ATTRIBUTES = r"""(?:\s+[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?|
 
 
 def page_text(content: Column) -> Column:
-    """Decode page bytes; text columns pass unchanged."""
-    return F.decode(content, "UTF-8")
+    """Decode page bytes, with a mark in place of malformed ones, as the page reader does; text passes unchanged."""
+    return F.make_valid_utf8(content.cast("string"))
 
 
 def markup(text: Column) -> Column:

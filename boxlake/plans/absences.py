@@ -11,8 +11,6 @@ from boxlake.operators.tally import top_values, value_counts, value_shares
 from boxlake.session import spread
 from boxlake.sources.season_archive import read_season_files, reindex
 
-VOCABULARY_BYTES = 8_000_000
-
 
 def normalize(frame: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The availability columns, with ``reason`` kept only where the player did not play."""
@@ -28,22 +26,8 @@ def read_archive(spark: SparkSession, folder: str, start: int | None = None, end
     return normalize(read_season_files(spark, folder, start, end), keep=("source_file",))
 
 
-def with_classes(rows: DataFrame, text: str, via_distinct: bool = False) -> DataFrame:
-    """Add ``status`` and ``category`` of a text column.
-
-    By default every row runs through the rules. ``via_distinct`` classifies the distinct texts and
-    broadcasts the result, but only after measuring that the vocabulary is small enough; if it is
-    not, rows are classified one by one as usual.
-    """
-    if via_distinct:
-        vocabulary = rows.select(F.coalesce(F.col(text), F.lit("")).alias("_text")).distinct()
-        size = vocabulary.agg(F.sum(F.octet_length("_text") + 64)).first()[0] or 0
-        if size <= VOCABULARY_BYTES:
-            known = vocabulary.withColumn("_class", classify(F.col("_text")))
-            joined = rows.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).join(
-                F.broadcast(known), "_text"
-            )
-            return _split_class(joined.drop("_text"))
+def with_classes(rows: DataFrame, text: str) -> DataFrame:
+    """Add ``status`` and ``category`` of a text column; every row runs through the rules."""
     return _split_class(spread(rows).withColumn("_class", classify(F.col(text))))
 
 
@@ -53,13 +37,13 @@ def _split_class(rows: DataFrame) -> DataFrame:
     ).drop("_class")
 
 
-def absence_table(archive: DataFrame, via_distinct: bool = True) -> DataFrame:
+def absence_table(archive: DataFrame) -> DataFrame:
     """Did-not-play rows in the exchange shape. The flag filter reaches the Parquet scan."""
     missed = archive.where("did_not_play").select(
         F.col("athlete_display_name").alias("player_name"), F.col("athlete_id").alias("player_id"),
         F.col("game_date").alias("date"), F.col("reason").alias("value"), "source_file",
     )
-    classed = with_classes(missed, "value", via_distinct).withColumnRenamed("category", "reason")
+    classed = with_classes(missed, "value").withColumnRenamed("category", "reason")
     return classed.select(*ABSENCE_COLUMNS)
 
 

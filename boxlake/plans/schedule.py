@@ -38,14 +38,13 @@ def games_on(resolved: DataFrame, date: str) -> DataFrame:
 
 
 def scores(resolved: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Points of (team, yyyymmdd) keys. A key with no game or several fails the job."""
-    found = wanted.distinct().join(resolved.select("team", "yyyymmdd", "pts", "opp_pts"), ["team", "yyyymmdd"], "left")
-    picked = found.groupBy("team", "yyyymmdd").agg(
-        F.count("*").alias("_rows"), F.max("pts").alias("pts"), F.max("opp_pts").alias("opp_pts"),
-        F.count("pts").alias("_scored"),
+    """Points of (team, yyyymmdd) keys. A key with no game or several fails the job; a game not played yet has none."""
+    games = resolved.groupBy("team", "yyyymmdd").agg(
+        F.count("*").alias("_games"), F.max("pts").alias("pts"), F.max("opp_pts").alias("opp_pts")
     )
+    picked = wanted.distinct().join(games, ["team", "yyyymmdd"], "left")
     message = F.concat(F.lit("not exactly one game for "), F.col("team"), F.lit(" on "), F.col("yyyymmdd"))
-    return picked.where(require((F.col("_rows") == 1) & (F.col("_scored") == 1), message)).select(
+    return picked.where(require(F.coalesce(F.col("_games") == 1, F.lit(False)), message)).select(
         "team", "yyyymmdd", "pts", "opp_pts"
     )
 

@@ -20,8 +20,9 @@ def with_season(fact: DataFrame, league: League) -> DataFrame:
 
 
 def write_box_scores(fact: DataFrame, path: str, league: League, mode: str = "overwrite") -> None:
-    """Partitioned by league and season, so that a season's readers skip the rest."""
-    with_season(fact, league).write.mode(mode).partitionBy("league", "season").parquet(path)
+    """Partitioned by league and season, so that a season's readers skip the rest. Seasons not in ``fact`` stay."""
+    writer = with_season(fact, league).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("league", "season").parquet(path)
 
 
 def read_box_scores(spark: SparkSession, path: str) -> DataFrame:
@@ -54,20 +55,30 @@ def export_availability_csv(records: DataFrame, path: str) -> None:
     export_csv(records.select(*AVAILABILITY_COLUMNS), path)
 
 
+def _read_csv(spark: SparkSession, path: str, kinds: dict[str, str], optional: tuple[str, ...] = ()) -> DataFrame:
+    """Columns of a CSV file by the names in its header, whatever their order. A missing optional column is null."""
+    table = spark.read.options(**_CSV).csv(path)
+    missing = [name for name in kinds if name not in table.columns and name not in optional]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return table.select(*[
+        (F.col(f"`{name}`") if name in table.columns else F.lit(None)).cast(kind).alias(name) for name, kind in kinds.items()
+    ])
+
+
 def read_box_scores_csv(spark: SparkSession, path: str, wanted: list[str] | None = None) -> DataFrame:
-    """Exchange file back as all-text columns; only ``wanted`` columns are parsed."""
-    schema = ", ".join(f"`{name}` string" for name in CSV_COLUMNS)
-    table = spark.read.schema(schema).options(**_CSV).csv(path)
-    return table.select(*[F.col(f"`{name}`") for name in wanted]) if wanted else table
+    """Exchange file back as all-text columns; only ``wanted`` columns are parsed. Old files lack some columns."""
+    old = ("Player ID", "Team Code", "Period", "Officials")
+    return _read_csv(spark, path, dict.fromkeys(wanted or CSV_COLUMNS, "string"), old)
 
 
 def read_schedule_csv(spark: SparkSession, path: str, league: League) -> DataFrame:
     """Schedule rows in file order; ``file_pos`` breaks ties between games of one day."""
-    given = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in struct(SCHEDULE)[1:-1])
-    table = spark.read.schema(given).options(**_CSV).csv(path)
+    kinds = {f.name: "double" if f.name == "yyyymmdd" else f.dataType.simpleString() for f in struct(SCHEDULE)[1:-1]}
+    table = _read_csv(spark, path, kinds)
     return (
         table.withColumn("league", F.lit(league.key))
-        .withColumn("yyyymmdd", F.col("yyyymmdd").cast("double").cast("long").cast("string"))
+        .withColumn("yyyymmdd", F.col("yyyymmdd").cast("long").cast("string"))
         .withColumn("file_pos", F.monotonically_increasing_id())
         .select(*columns(SCHEDULE))
     )

@@ -58,7 +58,7 @@ def compact_raw_pages(
 
     A first look at the listing alone gives each year's size and so its number of files; pages are
     then dealt out by name, so the year that holds most pages is written by as many tasks as it
-    needs, and content is read once.
+    needs, and content is read once. Leagues and years that are not in ``pages`` stay as they are.
     """
     dated = pages.withColumn("year", file_year(league, F.col("file_name"), kind))
     sizes = dated.groupBy("league", "year").agg(F.ceil(F.sum("length") / bytes_per_file).alias("_files"))
@@ -69,7 +69,7 @@ def compact_raw_pages(
     )
     (
         placed.repartition(total, "league", "year", "_slot").drop("_files", "_slot")
-        .write.mode("overwrite").partitionBy("league", "year").parquet(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("league", "year").parquet(path)
     )
 
 

@@ -61,9 +61,8 @@ def test_all_seasons_take_one_shape(spark, folder):
     assert archive.first().game_date.year in (2003, 2010, 2024)
 
 
-@pytest.mark.parametrize("via_distinct", [True, False])
-def test_absence_table(spark, folder, via_distinct):
-    table = absences.sort_absences(absences.absence_table(absences.read_archive(spark, folder), via_distinct))
+def test_absence_table(spark, folder):
+    table = absences.sort_absences(absences.absence_table(absences.read_archive(spark, folder)))
     rows = table.collect()
     assert table.columns == ["player_name", "player_id", "date", "status", "reason", "value", "source_file"]
     assert [(r.player_name, r.status, r.reason) for r in rows] == [
@@ -73,16 +72,6 @@ def test_absence_table(spark, folder, via_distinct):
     assert rows[0].date == date(2010, 5, 16) and rows[2].value == "COACH'S DECISION"
 
 
-def test_large_vocabulary_is_not_broadcast(spark, folder, monkeypatch):
-    archive = absences.read_archive(spark, folder)
-    usual = absences.absence_table(archive)
-    assert "BroadcastHashJoin" in usual._jdf.queryExecution().toString()
-    monkeypatch.setattr(absences, "VOCABULARY_BYTES", 10)
-    other = absences.absence_table(archive)
-    assert "Join" not in other._jdf.queryExecution().toString()
-    assert sorted(usual.collect(), key=str) == sorted(other.collect(), key=str)
-
-
 def test_reports(spark, folder):
     archive = absences.read_archive(spark, folder)
     table = absences.absence_table(archive)
@@ -104,7 +93,7 @@ def test_reports(spark, folder):
 def test_flag_filter_reaches_the_scan(spark, folder, tmp_path):
     write_archive(absences.read_archive(spark, folder), str(tmp_path / "archive"))
     stored = spark.read.parquet(str(tmp_path / "archive"))
-    plan = absences.absence_table(stored, via_distinct=False)._jdf.queryExecution().toString()
+    plan = absences.absence_table(stored)._jdf.queryExecution().toString()
     assert "EqualTo(did_not_play,true)" in plan and "minutes" not in plan.split("ReadSchema:")[-1].split("\n")[0]
 
 

@@ -131,6 +131,29 @@ def test_empty_csv_fields_are_null(spark, tmp_path):
     assert tuple(row) == ('A "B" C', None, "DNP", None, "T", None, "FG", None, "f")
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "old.csv").write_text("Player,MP,PTS,Team,Period,filename,Note\nA,1:00,2,T,FG,f.html,x\n")
+    row = facts.read_box_scores_csv(spark, str(tmp_path / "old.csv")).first()
+    assert (row["Player"], row["Period"], row["filename"], row["Team Code"], row["Officials"]) == ("A", "FG", "f.html", None, None)
+    (tmp_path / "turned.csv").write_text(
+        "opp_name,team,season,yyyymmdd,game_location,game_result,pts,opp_pts,wins,losses\nNew York,LVA,2024,20240601,,,,,3,1\n"
+    )
+    row = facts.read_schedule_csv(spark, str(tmp_path / "turned.csv"), league("wnba")).first()
+    assert (row.team, row.opp_name, row.yyyymmdd, row.pts) == ("LVA", "New York", "20240601", None)
+    (tmp_path / "short.csv").write_text("Player,MP\nA,1:00\n")
+    with pytest.raises(ValueError, match="filename"):
+        facts.read_box_scores_csv(spark, str(tmp_path / "short.csv"))
+
+
+def test_compaction_keeps_other_leagues(spark, tmp_path):
+    schema = "league string, file_name string, content binary, length long, modification_time timestamp"
+    for key, name in (("nba", "boxscores_202401010BOS.html"), ("wnba", "wnba_boxscores_202405160WAS.html")):
+        pages = spark.createDataFrame([(key, name, b"<html>", 6, None)], schema)
+        raw_pages.compact_raw_pages(pages, str(tmp_path / "pages"), league(key))
+    kept = spark.read.parquet(str(tmp_path / "pages"))
+    assert {r.league for r in kept.select("league").collect()} == {"nba", "wnba"}
+
+
 def test_schedule_csv_keeps_file_order(spark, tmp_path):
     (tmp_path / "schedule.csv").write_text(
         "team,season,yyyymmdd,opp_name,game_location,game_result,pts,opp_pts,wins,losses\n"
