@@ -10,7 +10,6 @@ scanned in blocks, so that long texts and short ones cost the same for each word
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,16 +28,48 @@ SEQUENCES, STEPS, EPOCHS = 2500, 64, 3
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def features(word: str) -> list[int]:
-    """Hashed lexicon, affix and n-gram features of a lower-case word; very long words count by their ends."""
-    if len(word) > 40:
-        word = word[:20] + word[-20:]
-    marked = f"<{word}>"
-    found = {f"w{word}"}
-    found.update(f"p{word[:n]}" for n in (1, 2, 3, 4))
-    found.update(f"s{word[-n:]}" for n in (1, 2, 3, 4))
-    found.update(marked[i : i + n] for n in (1, 2, 3) for i in range(len(marked) - n + 1))
-    return [zlib.crc32(f.encode("utf-8", "replace")) & ((1 << BITS) - 1) for f in found]
+#: Words longer than this count by their two ends.
+LONGEST = 40
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _hashed(kind: int, columns: list[np.ndarray]) -> np.ndarray:
+    """One hash for each row of code points; ``kind`` keeps equal letters in different roles apart."""
+    h = np.full(len(columns[0]), kind + 1, np.uint64) * _ODD
+    for column in columns:
+        h = (h ^ column) * _ODD
+        h ^= h >> np.uint64(29)
+    return (h >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed lexicon, affix and n-gram features of non-empty lower-case words, word after word, and each word's number of them.
+
+    All words are hashed together, one kind of feature at a time.
+    """
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    words = [w if len(w) <= LONGEST else w[: LONGEST // 2] + w[-(LONGEST // 2) :] for w in words]
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    codes = np.frombuffer(("<" + "><".join(words) + ">").encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
+    ends = np.cumsum(size + 2)
+    begins, every = ends - size - 2, np.arange(len(words))
+    owner = np.repeat(every, size + 2)
+    place = np.arange(len(codes)) - begins[owner]
+
+    letters = _hashed(0, [codes, place.astype(np.uint64)]).astype(np.uint64) * _ODD
+    owners, hashes = [every], [_hashed(1, [np.add.reduceat(letters, begins)])]
+    for n in (1, 2, 3, 4):
+        long = np.flatnonzero(size >= n)
+        owners += [long, long]
+        hashes.append(_hashed(10 + n, [codes[begins[long] + 1 + i] for i in range(n)]))
+        hashes.append(_hashed(20 + n, [codes[ends[long] - 1 - n + i] for i in range(n)]))
+    for n in (1, 2, 3):
+        at = np.flatnonzero(place <= size[owner] + 2 - n)
+        owners.append(owner[at])
+        hashes.append(_hashed(30 + n, [codes[at + i] for i in range(n)]))
+    owned = np.concatenate(owners)
+    return np.concatenate(hashes)[np.argsort(owned, kind="stable")], np.bincount(owned, minlength=len(words))
 
 
 @dataclass
@@ -50,8 +81,13 @@ class Field:
     start: np.ndarray
     step: np.ndarray
 
-    def emission(self, word: str) -> np.ndarray:
-        return self.weights[features(word)].sum(0)
+    def emissions(self, words: list[str]) -> np.ndarray:
+        """Scores (word, language) of non-empty lower-case words."""
+        out = np.empty((len(words), len(self.languages)), np.float32)
+        for at in range(0, len(words), 4096):
+            flat, counts = features(words[at : at + 4096])
+            out[at : at + 4096] = np.add.reduceat(self.weights[flat], np.cumsum(counts) - counts)
+        return out
 
 
 def _soft(scores: np.ndarray) -> np.ndarray:
@@ -137,10 +173,9 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Field:
             for w in source[at : at + length]:
                 x[i, filled], y[i, filled] = vocabulary.setdefault(w, len(vocabulary)), label
                 filled += 1
-    lists = [features(w) for w in vocabulary]
-    ends = np.cumsum([len(f) for f in lists])
-    flat = np.concatenate([np.array(f, np.int64) for f in lists])
-    begins = ends - np.array([len(f) for f in lists])
+    flat, counts = features(list(vocabulary))
+    ends = np.cumsum(counts)
+    begins = ends - counts
 
     square = [np.full_like(p, 1e-6) for p in (weights, start, step)]
     first = np.zeros((1, STEPS), bool)
@@ -195,56 +230,61 @@ def training_rows(labelled: DataFrame, texts_each: int = TEXTS_EACH, most_langua
     return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["doc_id"] or 0, r["lang"], r["text"]))]
 
 
-def _scored(model: Field):
-    k = len(model.languages)
-
-    def score(texts: list[str | None], known: dict[str, int], emissions: list[np.ndarray]) -> list[tuple]:
-        codes, lengths = [], []
-        for text in texts:
-            words = _WORD.findall(text.lower()) if text else []
-            for w in set(words).difference(known):
-                known[w] = len(emissions)
-                emissions.append(model.emission(w))
-            codes.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
-            lengths.append(len(words))
-        ends = np.cumsum(lengths)
-        flat = np.concatenate(codes) if codes else np.zeros(0, np.int64)
-        used, inverse = np.unique(flat, return_inverse=True)
-        e = np.array([emissions[i] for i in used], np.float64).reshape(-1, k)[inverse]
+class _Scorer:
+    """Predictions for blocks of texts; the scores of words met before are kept, up to ``most_words`` of them."""
+
+    def __init__(self, model: Field, most_words: int):
+        self.model, self.most_words = model, most_words
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.emissions = np.empty((1024, len(self.model.languages)), np.float32)
+
+    def learn(self, words: set[str]) -> None:
+        at, new = len(self.known), list(words)
+        while at + len(new) > len(self.emissions):
+            self.emissions = np.concatenate([self.emissions, np.empty_like(self.emissions)])
+        self.emissions[at : at + len(new)] = self.model.emissions(new)
+        self.known.update(zip(new, range(at, at + len(new)), strict=True))
+
+    def score(self, texts: list[str | None]) -> list[tuple]:
+        if len(self.known) > self.most_words:
+            self.forget()
+        split = [_WORD.findall(text.lower()) if text else [] for text in texts]
+        self.learn({w for words in split for w in words if w not in self.known})
+        lengths = np.array([len(words) for words in split], np.int64)
+        flat = np.fromiter((self.known[w] for words in split for w in words), np.int64, int(lengths.sum()))
         first = np.zeros(len(flat), bool)
-        starts = ends - lengths
-        first[starts[np.array(lengths) > 0]] = True
-        p = np.concatenate([np.zeros((1, k)), np.cumsum(marginals(e, first, model.start, model.step), 0)])
+        starts = np.cumsum(lengths) - lengths
+        first[starts[lengths > 0]] = True
+        k = len(self.model.languages)
+        p = marginals(self.emissions[flat].astype(np.float64), first, self.model.start, self.model.step)
+        p = np.concatenate([np.zeros((1, k)), np.cumsum(p, 0)])
         out = []
-        for a, b in zip(starts, ends, strict=True):
-            if a == b:
+        for a, n in zip(starts.tolist(), lengths.tolist(), strict=True):
+            if not n:
                 out.append((UNDETERMINED, 0.0, [0.0] * k))
                 continue
-            share = (p[b] - p[a]) / (b - a)
+            share = (p[a + n] - p[a]) / n
             best = int(share.argmax())
-            out.append((model.languages[best], float(min(1.0, max(0.0, share[best]))), share.tolist()))
+            out.append((self.model.languages[best], float(min(1.0, max(0.0, share[best]))), share.tolist()))
         return out
 
-    return score
-
 
 def _predictions(model: Field, most_words: int = 200_000) -> callable:
-    score = _scored(model)
-
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
-        known, emissions = {}, []
+        scorer = _Scorer(model, most_words)
         for whole in batches:
             for begin in range(0, whole.num_rows, 256):
                 batch = whole.slice(begin, 256)
-                if len(known) > most_words:
-                    known, emissions = {}, []
                 texts, found, at = batch["text"].to_pylist(), [], 0
                 while at < len(texts):  # about a million characters together
                     end, size = at, 0
                     while end < len(texts) and (end == at or size < 1_000_000):
                         size += len(texts[end] or "")
                         end += 1
-                    found += score(texts[at:end], known, emissions)
+                    found += scorer.score(texts[at:end])
                     at = end
                 yield batch, found
 
