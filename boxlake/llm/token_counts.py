@@ -113,10 +113,10 @@ def token_trees(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame
     content = word_bpe.spec(tokenizer_path)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        encoder = word_bpe.encoder(content)
+        counts_of = word_bpe.counter(content).counts
         for doc_id, text in rows_of(batches):
             leaves = segments(text or "")
-            yield doc_id, text, levels([len(s) for s in leaves]), levels(encoder.counts(leaves) if leaves else [])
+            yield doc_id, text, levels([len(s) for s in leaves]), levels(counts_of(leaves))
 
     given = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return given.mapInArrow(lambda batches: packed(build(batches), _TREES), f"doc_id long, text string, {TREE}")
@@ -144,7 +144,7 @@ def apply_edits(trees: DataFrame, edits: DataFrame, tokenizer_path: str | None =
     )
 
     def update(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        counts_of = word_bpe.encoder(content).counts
+        counts_of = word_bpe.counter(content).counts
         for doc_id, text, chars, tokens, wanted in rows_of(batches):
             if not wanted:
                 yield doc_id, text, chars, tokens, 0, 0, 0

@@ -120,9 +120,28 @@ class Encoder:
             self.known = len(self.codes)
         return [gather(self.starts, self.flat, c) for c in coded]
 
+
+class Counter:
+    """Numbers of ids of texts, with a table of the words met so far that is emptied when it holds ``most_words``."""
+
+    def __init__(self, content: str, most_words: int = 300_000):
+        self.tokenizer, self.most, self.known = tokenizer(content), most_words, {}
+
     def counts(self, texts: list[str | None]) -> list[int]:
         """Number of ids of each text."""
-        return [len(ids) for ids in self.encode(texts)]
+        if len(self.known) > self.most:
+            self.known = {}
+        known, split = self.known, [self.tokenizer.words(t) for t in texts]
+        new = list(set().union(*split).difference(known))
+        if new:
+            known.update(zip(new, map(len, self.tokenizer.ids(new)), strict=True))
+        return [sum(map(known.__getitem__, words)) for words in split]
+
+
+@lru_cache(maxsize=1)
+def counter(content: str) -> Counter:
+    """One table of words for each Python worker, kept from task to task."""
+    return Counter(content)
 
 
 @lru_cache(maxsize=1)
