@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from boxlake.catalog.registry import query, table
+from boxlake.catalog.registry import dealt, query, table
 from boxlake.fixed_values import ABSENCE_RULES
 from boxlake.operators.tally import top_values, union_all
 from boxlake.plans.absences import (
@@ -71,7 +71,7 @@ def archive(spark, folder):
 
 @query(f"SELECT doc_id, {_case('text', 0)} AS status, {_case('text', 1)} AS category FROM documents")
 def classify_first_match(spark, folder):
-    return with_classes(table(spark, folder, "documents").select("doc_id", "text"), "text").drop("text")
+    return with_classes(dealt(spark, folder, "documents", "doc_id", "text"), "text").drop("text")
 
 
 @query(f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from boxlake.catalog.games import MAIN, _FILES, order_files
-from boxlake.catalog.registry import query, sql_code, table, team_code
+from boxlake.catalog.registry import dealt, query, sql_code, table, team_code
 from boxlake.operators.identity import append_ids_first_seen, append_ids_sorted, crew_members, unseen_keys
 from boxlake.operators.numbering import number_rows
 from boxlake.operators.tally import modal_value
@@ -89,7 +89,7 @@ FROM words WHERE key <> '' AND key NOT IN (SELECT key FROM known)
 def stable_ids_sorted(spark, folder):
     """Words of whole documents as crew members, after the words of part names."""
     def words(name, column):
-        return crew_members(table(spark, folder, name), F.split(column, " "))
+        return crew_members(dealt(spark, folder, name, column), F.split(column, " "))
 
     empty = spark.createDataFrame([], "key string, id long")
     known = append_ids_sorted(empty, words("part", "p_name"), "member")

@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from boxlake.catalog.games import MAIN, _FILES, order_files, with_file_name
-from boxlake.catalog.registry import query, table
+from boxlake.catalog.games import MAIN, _FILES, with_file_name
+from boxlake.catalog.registry import dealt, query, table
 from boxlake.functions.markup import has_element
 from boxlake.operators.pages import discover_links, extract_box_scores, headline_teams, page_links, parse_pages
 from boxlake.session import shared_dir
@@ -38,7 +38,7 @@ def link_rows(spark, folder):
 @query(_ALL_LINKS)
 def html_rows(spark, folder):
     """The same rows from the page parser."""
-    parsed = parse_pages(table(spark, folder, "pages"), ["page_id"], "html")
+    parsed = parse_pages(dealt(spark, folder, "pages", "page_id", "html"), ["page_id"], "html")
     return parsed.select("page_id", F.posexplode("page.links").alias("link_pos", "link"))
 
 
@@ -53,7 +53,7 @@ def page_validity(spark, folder):
 # a page without a full-game table.
 
 def box_score_pages(spark, folder, orders=None, broken: bool = False):
-    orders = order_files(spark, folder) if orders is None else orders
+    orders = with_file_name(dealt(spark, folder, "orders")) if orders is None else orders
 
     def cat(*parts):
         return F.concat(*[p if not isinstance(p, str) or p in orders.columns else F.lit(p) for p in parts])
@@ -156,7 +156,7 @@ def _ingest(spark, folder) -> str:
     schema = table(spark, folder, "orders").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(folder)
     pages = box_score_pages(spark, folder, with_file_name(stream), broken=True)
-    drain(pages, root).awaitTermination()
+    drain(pages, root)
     return root
 
 

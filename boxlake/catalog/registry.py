@@ -27,6 +27,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table, dealt out before work that is heavy per row. The driver's tables are single small files,
+    which one task would read; tables of many files come in enough parts and need no such shuffle."""
+    rows = table(spark, folder, name).select(*(columns or ["*"]))
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def day(column: str) -> Column:
     return F.date_format(column, "yyyyMMdd")
 

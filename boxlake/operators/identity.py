@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from boxlake.functions.text import strip
 from boxlake.operators.numbering import number_rows
-from boxlake.session import spread
 
 
 def append_ids(known: DataFrame, keys: DataFrame, order: list[str]) -> DataFrame:
@@ -43,7 +42,7 @@ def crew_members(rows: DataFrame, crew: Column) -> DataFrame:
     Repeats go before the names are cleaned, so cleaning runs once per spelling.
     """
     return (
-        spread(rows.select(crew.alias("crew")))
+        rows.select(crew.alias("crew"))
         .select(F.explode("crew").alias("member"))
         .distinct()
         .select(strip("member").alias("member"))

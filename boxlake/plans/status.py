@@ -55,9 +55,8 @@ def status(spark: SparkSession, pulls: DataFrame, artifacts: DataFrame, newest:
     runs = fold_artifacts(artifacts).where("artifact = 'agg'").select("league", "last_run")
     fresh = freshness(newest, runs).select("league", "newest_raw_file", "stale")
     settings = league_frame(spark).select("league", "display_name", "prefix", "regulation_minutes", "spans_years")
-    # the league table has a handful of fixed rows
     return (
-        F.broadcast(settings).join(states, "league", "left").join(fresh, "league", "left")
+        settings.join(states, "league", "left").join(fresh, "league", "left")
         .orderBy("league", "section", "name")
     )
 

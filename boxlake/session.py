@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,33 +30,17 @@ def build_session(app: str = "boxlake", master: str | None = None, **settings: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. Only a local session may fall back to a temporary one."""
+    """The cluster's shared folder. Only a session in one process may fall back to a temporary one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     made = tempfile.mkdtemp(prefix="boxlake-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Put a small input on all cores before work that is heavy per row.
-
-    An input large enough to fill the cluster by its own splits is returned as it is, unshuffled.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split else df
-
-
 def pin(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that every later use sees the very same rows."""
     context = df.sparkSession.sparkContext

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +31,18 @@ def read_season_files(
     paths = [row.path for row in files.orderBy("season").toLocalIterator()]
     if not paths:
         raise FileNotFoundError(f"no season files in {folder} for [{start}, {end}]")
-    frames = spark.read.option("mergeSchema", "true").parquet(*paths)
-    return frames.withColumn("source_file", F.col("_metadata.file_name"))
+    return _merged([spark.read.parquet(path).withColumn("source_file", F.col("_metadata.file_name")) for path in paths])
+
+
+def _merged(frames: list[DataFrame]) -> DataFrame:
+    """Union by name. A column whose type drifts takes its archive type, or text if the archive does not name it."""
+    kinds: dict[str, set[str]] = {}
+    for frame in frames:
+        for name, kind in frame.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    drifting = {name: dict(ARCHIVE_COLUMNS).get(name, "string") for name, found in kinds.items() if len(found) > 1}
+    cast = [f.withColumns({n: F.col(n).cast(k) for n, k in drifting.items() if n in f.columns}) for f in frames]
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), cast)
 
 
 def season_list(spark: SparkSession, folder: str) -> DataFrame:

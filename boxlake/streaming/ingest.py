@@ -1,14 +1,15 @@
 """Drains newly cached pages into the fact and its maps, then stops; run it again for the next ones.
 
 Every micro-batch writes under its own number, so a batch that is repeated after a failure replaces
-its own output and nothing is counted twice. Maps get one version per batch, built from the last.
+its own output and nothing is counted twice. Maps are appended once per drain, from all its batches, so
+ids do not depend on how a drain is split; a version is named after the last batch it knows.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from boxlake.functions.links import file_glob
 from boxlake.leagues import League
@@ -20,7 +21,7 @@ from boxlake.sources.raw_pages import as_raw_pages
 
 
 def page_stream(spark: SparkSession, folder: str, league: League, files_per_batch: int = 10_000) -> DataFrame:
-    """Raw pages of a folder as a stream; each file is seen once."""
+    """Raw pages of a folder as a stream; each file is seen once. Batches bound the work of one step, not the result."""
     files = (
         spark.readStream.format("binaryFile").schema(struct(FILE))
         .option("pathGlobFilter", file_glob(league))
@@ -30,30 +31,47 @@ def page_stream(spark: SparkSession, folder: str, league: League, files_per_batc
     return as_raw_pages(files, league)
 
 
-def drain(pages: DataFrame, root: str, layout: str = "id") -> StreamingQuery:
-    """Start a query that takes in all pages there are, writes fact, errors and maps, and ends."""
+def drain(pages: DataFrame, root: str, layout: str = "id") -> None:
+    """Take in all pages there are, write fact, errors and maps, and end.
+
+    A drain that died before its maps were written is made up for by the next one.
+    """
 
     def take_in(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        cores = spark.sparkContext.defaultParallelism
-        if batch.rdd.getNumPartitions() < cores:  # a few large files: parsing is worth a shuffle
-            batch = batch.repartition(cores)
-        staged = f"{root}/staged/batch={number}"
-        extract_box_scores(batch, layout, "quarantine").write.mode("overwrite").parquet(staged)
-        parsed = spark.read.parquet(staged)
-        fact = parsed.where("error IS NULL").select(*struct(BOX_SCORE).names)
-        write_version(official_map(fact, known(spark, "official_map", number)), f"{root}/official_map", number)
-        write_version(player_map(fact, known(spark, "player_map", number)), f"{root}/player_map", number)
-
-    def known(spark: SparkSession, name: str, number: int) -> DataFrame:
-        return read_version(spark, f"{root}/{name}", number - 1 if number else None)
-
-    return (
+        extract_box_scores(batch, layout, "quarantine").write.mode("overwrite").parquet(f"{root}/staged/batch={number}")
+
+    (
         pages.writeStream.foreachBatch(take_in)
         .option("checkpointLocation", f"{root}/progress")
         .trigger(availableNow=True)
         .start()
+        .awaitTermination()
     )
+    append_maps(pages.sparkSession, root)
+
+
+def append_maps(spark: SparkSession, root: str) -> None:
+    """A new version of each map, if batches were taken in since its last one."""
+    last = _newest(spark, f"{root}/staged", "batch")
+    if last is None:
+        return
+    for name, build in (("official_map", official_map), ("player_map", player_map)):
+        done = _newest(spark, f"{root}/{name}", "version")
+        if done is None or done < last:
+            new = ingested_fact(spark, root, after=done)
+            write_version(build(new, read_version(spark, f"{root}/{name}", done)), f"{root}/{name}", last)
+
+
+def _newest(spark: SparkSession, path: str, folder: str) -> int | None:
+    """Highest number of the ``folder=<number>`` folders below a path that hold a file; None if there is none."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    try:
+        names = files.load(path).select(F.regexp_extract("path", rf"/{folder}=([0-9]+)/[^/]*$", 1).alias("number"))
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing.getCondition()):
+            raise
+        return None
+    return names.where("number <> ''").agg(F.max(F.col("number").cast("long"))).first()[0]
 
 
 def ingested(spark: SparkSession, root: str) -> DataFrame:
@@ -61,8 +79,10 @@ def ingested(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(struct(BOX_SCORE + ", error string, batch long")).parquet(f"{root}/staged")
 
 
-def ingested_fact(spark: SparkSession, root: str) -> DataFrame:
-    return ingested(spark, root).where("error IS NULL").select(*struct(BOX_SCORE).names)
+def ingested_fact(spark: SparkSession, root: str, after: int | None = None) -> DataFrame:
+    """Rows of the fact, of all batches or of those after one."""
+    rows = ingested(spark, root).where("error IS NULL")
+    return (rows if after is None else rows.where(F.col("batch") > after)).select(*struct(BOX_SCORE).names)
 
 
 def ingested_errors(spark: SparkSession, root: str) -> DataFrame:
@@ -71,6 +91,4 @@ def ingested_errors(spark: SparkSession, root: str) -> DataFrame:
 
 def latest_map(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Newest version of a map."""
-    versions = spark.read.parquet(f"{root}/{name}")
-    newest = versions.agg(F.max("version")).scalar()
-    return versions.where(F.col("version") == newest).select("key", "id")
+    return read_version(spark, f"{root}/{name}", _newest(spark, f"{root}/{name}", "version"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import boxlake.plans.absences as absences
 from boxlake.sources.facts import export_absences_csv
+from boxlake.fixed_values import SEASON_FILE_PREFIX
 from boxlake.sources.season_archive import read_season_files, season_list, write_archive
 
 COLUMNS = (
@@ -102,3 +103,12 @@ def test_csv_export(spark, folder, tmp_path):
     back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
     assert back.count() == 6 and back.columns[:3] == ["player_name", "player_id", "date"]
     assert back.where(F.col("value").isNull()).count() == 1
+
+
+def test_types_that_drift_between_seasons(spark, tmp_path):
+    shapes = {2020: "game_id long, athlete_id int, note int", 2021: "game_id string, athlete_id string, note string"}
+    for season, shape in shapes.items():
+        rows = spark.createDataFrame([(7, 1, 2) if season == 2020 else ("x7", "1", "n")], shape)
+        rows.toPandas().to_parquet(tmp_path / f"{SEASON_FILE_PREFIX}{season}.parquet")
+    found = read_season_files(spark, str(tmp_path)).select("game_id", "athlete_id", "note").collect()
+    assert sorted(tuple(r) for r in found) == [("7", "1", "2"), ("x7", "1", "n")]
