@@ -17,15 +17,6 @@ def modal_value(rows: DataFrame, key: str, value: str) -> DataFrame:
     return counts.groupBy(key).agg(best.alias("_best")).select(key, F.col("_best.value").alias(value))
 
 
-def value_shares(rows: DataFrame, value: str, digits: int = 6) -> DataFrame:
-    """(value, count, share), commonest first. The total is the sum of the per-value counts."""
-    counts = rows.groupBy(value).agg(F.count("*").alias("count"))
-    total = counts.agg(F.sum("count")).scalar()
-    return counts.withColumn("share", F.round(F.col("count") / total, digits)).orderBy(
-        F.desc("count"), F.col(value).asc_nulls_last()
-    )
-
-
 def top_values(rows: DataFrame, value: str, k: int) -> DataFrame:
     """The ``k`` most frequent non-null values."""
     return (
@@ -37,15 +28,6 @@ def top_values(rows: DataFrame, value: str, k: int) -> DataFrame:
     )
 
 
-def value_counts(rows: DataFrame, value: str) -> DataFrame:
-    """Counts of every value, null included."""
-    return (
-        rows.groupBy(value)
-        .agg(F.count("*").alias("count"))
-        .orderBy(F.desc("count"), F.col(value).asc_nulls_last())
-    )
-
-
 def keep_last(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One whole row per key, the last in ``order``: an aggregate, so hot keys combine map-side."""
     payload = [c for c in rows.columns if c not in keys]

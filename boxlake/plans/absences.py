@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boxlake.fixed_values import ABSENCE_COLUMNS, UNKNOWN
 from boxlake.functions.absence import classify
-from boxlake.operators.tally import top_values, value_counts, value_shares
+from boxlake.operators.tally import top_values
 from boxlake.sources.season_archive import read_season_files, reindex
 
 
@@ -53,22 +53,42 @@ def sort_absences(absences: DataFrame) -> DataFrame:
     )
 
 
+def classed_texts(absences: DataFrame) -> DataFrame:
+    """(value, n, status, reason): each text once, with its count. The rules run on the counted texts only."""
+    counts = absences.groupBy("value").agg(F.count("*").alias("n"))
+    return with_classes(counts, "value").withColumnRenamed("category", "reason")
+
+
+def _class_shares(absences: DataFrame, name: str) -> DataFrame:
+    counts = classed_texts(absences).groupBy(name).agg(F.sum("n").alias("count"))
+    # a row per class, and the rules know a handful of classes
+    total = F.sum("count").over(Window.partitionBy())
+    return counts.withColumn("share", F.round(F.col("count") / total, 6)).orderBy(
+        F.desc("count"), F.col(name).asc_nulls_last()
+    )
+
+
 def status_shares(absences: DataFrame) -> DataFrame:
-    return value_shares(absences, "status")
+    return _class_shares(absences, "status")
 
 
 def reason_shares(absences: DataFrame) -> DataFrame:
-    return value_shares(absences, "reason")
+    return _class_shares(absences, "reason")
+
+
+def _unclassified(absences: DataFrame) -> DataFrame:
+    return classed_texts(absences).where(F.col("status") == UNKNOWN)
 
 
 def unclassified_vocabulary(absences: DataFrame) -> DataFrame:
     """Texts that no rule knows, with counts; a missing text is counted too."""
-    return value_counts(absences.where(F.col("status") == UNKNOWN), "value")
+    return _unclassified(absences).select("value", F.col("n").alias("count")).orderBy(
+        F.desc("count"), F.col("value").asc_nulls_last()
+    )
 
 
 def unclassified_summary(absences: DataFrame) -> DataFrame:
-    counts = absences.where(F.col("status") == UNKNOWN).groupBy("value").agg(F.count("*").alias("n"))
-    return counts.agg(
+    return _unclassified(absences).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("unclassified_rows"), F.count("value").alias("distinct_values")
     )
 
