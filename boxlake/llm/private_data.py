@@ -3,7 +3,7 @@
 Plain identifiers are found by fixed patterns. Disguised ones are found in a normalised text: a cascade of
 transducers maps look-alike characters, digits written as words and the words and signs that stand for "at" and "dot",
 and carries the source span of every character it writes. What the same patterns find there is mapped back through
-those spans, and is added where no plain identifier of its kind lies.
+those spans, and is added unless a plain identifier of its kind holds all of it: a plain fragment stays beside the whole.
 """
 
 from __future__ import annotations
@@ -156,7 +156,7 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     added = set()
     for kind, a, b in plain_spans(rewritten.text):
         start, end = rewritten.starts[a], rewritten.ends[b - 1]
-        if not any(start < y and x < end for x, y in held[kind]):
+        if not any(x <= start and end <= y for x, y in held[kind]):
             added.add((kind, start, end))
     return plain, ordered([*plain, *added])
 

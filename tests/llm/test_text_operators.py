@@ -179,3 +179,27 @@ def test_masking(spark):
     assert got == [(1, "[EMAIL] and [PHONE]", 19, "x"), (2, None, None, "y"), (3, "none here", 9, "z")]
     assert private_data.mask_private_data(frame.limit(0)).count() == 0
     assert private_data.mask_private_data(frame).filter(F.col("n_chars") != F.length("text")).count() == 0
+
+
+@pytest.mark.parametrize(("text", "kind", "fragment", "whole", "hidden"), [
+    ("to jоhn@example.com now", "email", "hn@example.com", "jоhn@example.com", "to [EMAIL] now"),
+    ("to john (dot) doe@example.com now", "email", "doe@example.com", "john (dot) doe@example.com", "to [EMAIL] now"),
+    ("to john dot doe@example.com now", "email", "doe@example.com", "john dot doe@example.com", "to [EMAIL] now"),
+    ("to jo@mail.example dot com now", "email", "jo@mail.example", "jo@mail.example dot com", "to [EMAIL] now"),
+    ("to jо@mail.example dot com now", "email", None, "jо@mail.example dot com", "to [EMAIL] now"),
+    ("to jоhn@mail.example dot com now", "email", "hn@mail.example", "jоhn@mail.example dot com", "to [EMAIL] now"),
+    ("call +49 30 1234 567８ now", "phone", "+49 30 1234 567", "+49 30 1234 567８", "call [PHONE] now"),
+    ("host １1.2.3.4 now", "ip", "1.2.3.4", "１1.2.3.4", "host [IP] now"),
+])
+def test_fragments_stay_beside_the_whole(text, kind, fragment, whole, hidden):
+    plain, spans = private_data.all_spans(text)
+    found = [text[a:b] for k, a, b in spans if k == kind]
+    assert [text[a:b] for k, a, b in plain if k == kind] == ([fragment] if fragment else [])
+    assert whole in found and len(found) == 1 + bool(fragment) and set(plain) <= set(spans)
+    assert private_data.masked(text, spans) == hidden
+
+
+def test_plain_identifiers_that_hold_the_mapped_one_stay_alone():
+    text = "jo@example.com and plus 1 – two, +49 30 1234567"
+    plain, spans = private_data.all_spans(text)
+    assert spans == plain and len(plain) == 2
