@@ -87,14 +87,16 @@ LOOK_ALIKES = {
 INVISIBLE = "​‌‍⁠﻿­"
 DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _WORD_CLASS = "|".join(DIGIT_WORDS)
-_SPELLED = re.compile(rf"(?i)\b(?:{_WORD_CLASS})(?:(?:[ -]|[ ]?,[ ]?)(?:{_WORD_CLASS}|dot|[0-9])\b)+")
-_AT_SIGN = re.compile(r"(?i)\s*(?:\[\s*at\s*\]|\(\s*at\s*\)|\{\s*at\s*\}|<\s*at\s*>|\(\s*@\s*\)|\[\s*@\s*\])\s*")
-_DOT_SIGN = re.compile(r"(?i)\s*(?:\[\s*dot\s*\]|\(\s*dot\s*\)|\{\s*dot\s*\}|<\s*dot\s*>|\[\s*\.\s*\]|\(\s*\.\s*\))\s*")
+_SPELLED = re.compile(rf"(?i)\b(?=[zotfsen])(?:{_WORD_CLASS})(?:(?:[ -]|[ ]?,[ ]?)(?:{_WORD_CLASS}|dot|[0-9])\b)+")
+_AT_MARK = r"(?=[\[({<])(?:\[\s*at\s*\]|\(\s*at\s*\)|\{\s*at\s*\}|<\s*at\s*>|\(\s*@\s*\)|\[\s*@\s*\])"
+_DOT_MARK = r"(?=[\[({<])(?:\[\s*dot\s*\]|\(\s*dot\s*\)|\{\s*dot\s*\}|<\s*dot\s*>|\[\s*\.\s*\]|\(\s*\.\s*\))"
+# With the blanks around them; the search goes into a run of blanks from its start only.
+_AT_SIGN = re.compile(rf"(?i)(?:(?<!\s)\s*)?{_AT_MARK}\s*")
+_DOT_SIGN = re.compile(rf"(?i)(?:(?<!\s)\s*)?{_DOT_MARK}\s*")
 _AT_WORD = re.compile(r"(?i)(?<=[a-z0-9]) at (?=[a-z0-9-]+(?: dot [a-z0-9-]+)+\b)")
 _DOT_WORD = re.compile(r"(?i)(?<=[a-z0-9]) dot (?=[a-z0-9])")
 _PLUS_WORD = re.compile(r"(?i)\bplus[ ]?(?=[0-9])")
-#: A text without any of these has nothing that the transducers would change to an identifier.
-_DISGUISED = re.compile(rf"(?i)[{re.escape(''.join(LOOK_ALIKES) + INVISIBLE)}]|[\[({{<]\s*(?:at|dot|@|\.)\s*[\])}}>]| dot |\b(?:{_WORD_CLASS})[ ,-]+(?:{_WORD_CLASS})\b")
+_CHANGED = re.compile(f"[{re.escape(''.join(LOOK_ALIKES) + INVISIBLE)}]")
 
 
 class Transduced:
@@ -138,16 +140,30 @@ def _digits(m: re.Match) -> list[tuple[str, int, int]]:
     return out
 
 
+#: The steps of the cascade after the look-alikes.
+_REWRITES = (
+    (_AT_SIGN, _one("@")), (_DOT_SIGN, _one(".")), (_AT_WORD, _one("@")), (_SPELLED, _digits), (_DOT_WORD, _one(".")), (_PLUS_WORD, _one("+")),
+)
+#: One for each step, signs without their blanks: found just where the step finds something.
+_GATES = (re.compile(f"(?i){_AT_MARK}|{_DOT_MARK}"), _AT_WORD, _SPELLED, _DOT_WORD, _PLUS_WORD)
+
+
+def is_rewritten(text: str) -> bool:
+    """Whether any transducer finds something in the text; the first one that changes a text finds it in the text as given."""
+    return bool(_CHANGED.search(text)) or any(gate.search(text) for gate in _GATES)
+
+
 def normalised(text: str) -> Transduced:
     out = Transduced(text).characters(LOOK_ALIKES, INVISIBLE)
-    out.rewrite(_AT_SIGN, _one("@")).rewrite(_DOT_SIGN, _one(".")).rewrite(_AT_WORD, _one("@")).rewrite(_SPELLED, _digits)
-    return out.rewrite(_DOT_WORD, _one(".")).rewrite(_PLUS_WORD, _one("+"))
+    for pattern, put in _REWRITES:
+        out.rewrite(pattern, put)
+    return out
 
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     """Plain spans, and those with the disguised ones added."""
     plain = plain_spans(text)
-    if not _DISGUISED.search(text):
+    if not is_rewritten(text):
         return plain, plain
     rewritten = normalised(text)
     if rewritten.text == text:

@@ -203,3 +203,27 @@ def test_plain_identifiers_that_hold_the_mapped_one_stay_alone():
     text = "jo@example.com and plus 1 – two, +49 30 1234567"
     plain, spans = private_data.all_spans(text)
     assert spans == plain and len(plain) == 2
+
+
+@pytest.mark.parametrize(("text", "kind", "found"), [
+    ("call +49 one 5 one 2 three 4 five 6 seven 8 now", "phone", "+49 one 5 one 2 three 4 five 6 seven 8"),
+    ("call plus 49 30 1234567 now", "phone", "plus 49 30 1234567"),
+    ("call plus 1 555 123 four five six seven now", "phone", "plus 1 555 123 four five six seven"),
+    ("card 411111111111111 one 2", None, None),
+])
+def test_spans_do_not_depend_on_unrelated_text(text, kind, found):
+    for other in ("", " – ", " a dot b ", " ．", " one two "):
+        added = [(k, text[a:b]) for k, a, b in private_data.all_spans(text + " ;" + other)[1]]
+        assert added == ([(kind, found)] if found else []), other
+
+
+def test_texts_kept_from_the_transducers_are_their_normalised_form():
+    chance, kept, words = random.Random(8), 0, ["one", "2", "Two ", "oh", "dot", " dot ", " at ", "(at)", "[ DOT ]", "plus", "PLUS 4", " ", " , ", "-", ".", "@", "jo", "x.com", "  ", "９", "о", "\n", "<", "\u200b", "é"]
+    for _ in range(20_000):
+        text = "".join(chance.choice(words) for _ in range(chance.randrange(9)))
+        if not private_data.is_rewritten(text):
+            kept += 1
+            assert private_data.normalised(text).text == text, text
+    assert 2000 < kept < 18_000
+    blanks = " " * 50_000  # a search from every blank of the run would take minutes
+    assert not private_data.is_rewritten(blanks + "x") and private_data.normalised(f"jo{blanks}(at) x.com").text == "jo@x.com"
