@@ -9,6 +9,7 @@ those spans, and is added unless a plain identifier of its kind holds all of it:
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -75,28 +76,38 @@ def plain_spans(text: str) -> list[Span]:
     return ordered(spans)
 
 
+def _forms() -> Iterator[tuple[str, str]]:
+    """Decimal and other single digits of every script, and compatibility forms of printable ASCII characters; none lie higher."""
+    for c in map(chr, range(0x80, 0x20000)):
+        plain = str(unicodedata.digit(c)) if c.isdigit() else unicodedata.normalize("NFKC", c)
+        if len(plain) == 1 and "!" <= plain <= "~":
+            yield c, plain
+
+
 # Characters that look like others, digits as words, and writings of "at" and "dot".
+#: What other dots become first: a mark that tells them from plain dots.
+DOT = "．"
 LOOK_ALIKES = {
-    **{chr(0xFF10 + i): str(i) for i in range(10)},
-    **{chr(0xFF21 + i): chr(0x41 + i) for i in range(26)},
-    **{chr(0xFF41 + i): chr(0x61 + i) for i in range(26)},
-    "＠": "@", "﹫": "@", "．": ".", "。": ".", "․": ".", "＋": "+", "﹢": "+", "‐": "-", "‑": "-", "–": "-", "－": "-",
-    "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s",
-    "α": "a", "ε": "e", "ι": "i", "ν": "v", "ο": "o", "ρ": "p",
+    **dict(_forms()), "‐": "-", "‑": "-", "–": "-", "ı": "i", "İ": "I",
+    **dict(zip("авекмнорстухіјѕһԁԛԝӏ", "abekmhopctyxijshdqwl", strict=True)), **dict(zip("АВЕКМНОРСТУХІЈЅԚԜӀ", "ABEKMHOPCTYXIJSQWI", strict=True)),
+    **dict(zip("αεικνορτυχ", "aeikvoptux", strict=True)), **dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ABEZHIKMNOPTYX", strict=True)),
+    "。": DOT, "․": DOT, "﹒": DOT, "｡": DOT,
 }
+del LOOK_ALIKES[DOT]
 INVISIBLE = "​‌‍⁠﻿­"
 DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _WORD_CLASS = "|".join(DIGIT_WORDS)
-_SPELLED = re.compile(rf"(?i)\b(?=[zotfsen])(?:{_WORD_CLASS})(?:(?:[ -]|[ ]?,[ ]?)(?:{_WORD_CLASS}|dot|[0-9])\b)+")
+_SPELLED = re.compile(rf"(?i)\b(?=[zotfsen])(?:{_WORD_CLASS})(?:(?:[ -]|[ ]?,[ ]?)(?:dot(?:[ -]|[ ]?,[ ]?))?(?:{_WORD_CLASS}|[0-9])\b)+")
 _AT_MARK = r"(?=[\[({<])(?:\[\s*at\s*\]|\(\s*at\s*\)|\{\s*at\s*\}|<\s*at\s*>|\(\s*@\s*\)|\[\s*@\s*\])"
-_DOT_MARK = r"(?=[\[({<])(?:\[\s*dot\s*\]|\(\s*dot\s*\)|\{\s*dot\s*\}|<\s*dot\s*>|\[\s*\.\s*\]|\(\s*\.\s*\))"
+_DOT_MARK = r"(?=[\[({<])(?:\[\s*dot\s*\]|\(\s*dot\s*\)|\{\s*dot\s*\}|<\s*dot\s*>|\[\s*[.．]\s*\]|\(\s*[.．]\s*\))"
 # With the blanks around them; the search goes into a run of blanks from its start only.
 _AT_SIGN = re.compile(rf"(?i)(?:(?<!\s)\s*)?{_AT_MARK}\s*")
-_DOT_SIGN = re.compile(rf"(?i)(?:(?<!\s)\s*)?{_DOT_MARK}\s*")
-_AT_WORD = re.compile(r"(?i)(?<=[a-z0-9]) at (?=[a-z0-9-]+(?: dot [a-z0-9-]+)+\b)")
+_DOT_SIGN = re.compile(rf"(?i)(?:(?<!\s)\s*)?{_DOT_MARK}\s*|{DOT}")
+# A plain dot alone does not make an address of "at": the first of the other writings of a dot decides.
+_AT_WORD = re.compile(rf"(?i) at (?<=[a-z0-9] at )(?=[a-z0-9-]+(?:\.[a-z0-9-]+)*(?: dot |\s*{_DOT_MARK}\s*|{DOT})[a-z0-9])")
 _DOT_WORD = re.compile(r"(?i)(?<=[a-z0-9]) dot (?=[a-z0-9])")
 _PLUS_WORD = re.compile(r"(?i)\bplus[ ]?(?=[0-9])")
-_CHANGED = re.compile(f"[{re.escape(''.join(LOOK_ALIKES) + INVISIBLE)}]")
+_CHANGED = frozenset(LOOK_ALIKES) | frozenset(INVISIBLE)
 
 
 class Transduced:
@@ -140,17 +151,17 @@ def _digits(m: re.Match) -> list[tuple[str, int, int]]:
     return out
 
 
-#: The steps of the cascade after the look-alikes.
+#: The steps of the cascade after the look-alikes; the word "at" comes first, as it is decided by dots not yet replaced.
 _REWRITES = (
-    (_AT_SIGN, _one("@")), (_DOT_SIGN, _one(".")), (_AT_WORD, _one("@")), (_SPELLED, _digits), (_DOT_WORD, _one(".")), (_PLUS_WORD, _one("+")),
+    (_AT_WORD, _one("@")), (_AT_SIGN, _one("@")), (_DOT_SIGN, _one(".")), (_SPELLED, _digits), (_DOT_WORD, _one(".")), (_PLUS_WORD, _one("+")),
 )
 #: One for each step, signs without their blanks: found just where the step finds something.
-_GATES = (re.compile(f"(?i){_AT_MARK}|{_DOT_MARK}"), _AT_WORD, _SPELLED, _DOT_WORD, _PLUS_WORD)
+_GATES = (re.compile(f"(?i){_AT_MARK}|{_DOT_MARK}|{DOT}"), _AT_WORD, _SPELLED, _DOT_WORD, _PLUS_WORD)
 
 
 def is_rewritten(text: str) -> bool:
     """Whether any transducer finds something in the text; the first one that changes a text finds it in the text as given."""
-    return bool(_CHANGED.search(text)) or any(gate.search(text) for gate in _GATES)
+    return not (text.isascii() or _CHANGED.isdisjoint(text)) or any(gate.search(text) for gate in _GATES)
 
 
 def normalised(text: str) -> Transduced:

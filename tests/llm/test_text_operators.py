@@ -227,3 +227,29 @@ def test_texts_kept_from_the_transducers_are_their_normalised_form():
     assert 2000 < kept < 18_000
     blanks = " " * 50_000  # a search from every blank of the run would take minutes
     assert not private_data.is_rewritten(blanks + "x") and private_data.normalised(f"jo{blanks}(at) x.com").text == "jo@x.com"
+
+
+@pytest.mark.parametrize("at", ["(at)", " [AT] ", " at ", " AT ", "＠", "(@)", "@"])
+def test_writings_of_at_and_dot_mix(at):
+    dots = [" dot ", "(dot)", " [ DOT ] ", "．", "[．]", "(.)", "。"]
+    for domain in [*(f"example{d}com" for d in dots), *(f"example{d}co{e}uk" for d in dots for e in [*dots, "."]), *(f"mail.example{d}com" for d in dots), "one dot com"]:
+        for local in ("jo", "jo.doe", "jo dot doe", "jo(dot)doe", "jо"):
+            text = f"to {local}{at}{domain} , now"
+            found = [text[a:b] for k, a, b in private_data.all_spans(text)[1] if k == "email"]
+            assert f"{local}{at}{domain}" in found, text
+
+
+def test_a_place_is_no_address():
+    for text in ("we met at example.com today", "at noon (dot)", "jo at example", "a dot b at c"):
+        assert private_data.all_spans(text) == ([], [])
+
+
+@pytest.mark.parametrize(("text", "kind"), [
+    ("INFO@EXАMPLE.COM", "email"), ("ІNFО@ЕХАМРLЕ.СОМ", "email"), ("ΙΝFΟ@ΕΧΑΜΡLΕ.CΟΜ", "email"), ("𝐣𝐨@𝗲𝘅𝗮𝗺𝗽𝗹𝗲.𝚌𝚘𝚖", "email"), ("jo（at）example（dot）com", "email"),
+    ("+٤٩ ٣٠ ١٢٣٤٥٦٧", "phone"), ("⁺⁴⁹ ³⁰ ¹²³⁴⁵⁶⁷", "phone"), ("+४९ ३० १२३४५६७", "phone"), ("+𝟒𝟗 𝟛𝟘 𝟣𝟤𝟥𝟜𝟝𝟞𝟽", "phone"), ("+４９ ₃₀ ①②③④⑤⑥⑦", "phone"),
+    ("４111 1111 ١١١١ 𝟏𝟏𝟏𝟏", "card"), ("１٩2.０.२.1", "ip"), ("+1 fıve fİve five zero one two three four five ſix", "phone"),
+])
+def test_look_alikes(text, kind):
+    for given in (text, f"so {text} there"):
+        found = [given[a:b] for k, a, b in private_data.all_spans(given)[1] if k == kind]
+        assert text in found
