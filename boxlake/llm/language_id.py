@@ -22,9 +22,12 @@ from boxlake.llm.common import packed, rows_of
 
 UNDETERMINED = "und"
 BITS = 17
-#: Bounds of the training sample: so many texts of each language, and the most frequent languages only.
-TEXTS_EACH, MOST_LANGUAGES = 300, 64
+#: Bounds of the training sample: about so many texts of each language, and fewer each where all together would be more
+#: than MOST_TEXTS; but one of every language.
+TEXTS_EACH, MOST_TEXTS = 300, 19_200
 SEQUENCES, STEPS, EPOCHS = 2500, 64, 3
+#: With more languages, sequences grow in number, and blocks of words and texts shrink, in proportion.
+WIDE = 64
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -84,9 +87,10 @@ class Field:
     def emissions(self, words: list[str]) -> np.ndarray:
         """Scores (word, language) of non-empty lower-case words."""
         out = np.empty((len(words), len(self.languages)), np.float32)
-        for at in range(0, len(words), 4096):
-            flat, counts = features(words[at : at + 4096])
-            out[at : at + 4096] = np.add.reduceat(self.weights[flat], np.cumsum(counts) - counts)
+        block = max(1, 4096 * WIDE // max(WIDE, len(self.languages)))
+        for at in range(0, len(words), block):
+            flat, counts = features(words[at : at + block])
+            out[at : at + block] = np.add.reduceat(self.weights[flat], np.cumsum(counts) - counts)
         return out
 
 
@@ -99,11 +103,14 @@ def marginals(emissions: np.ndarray, first: np.ndarray, start: np.ndarray, step:
     """Probabilities (word, language) by forward-backward over many chains laid end to end.
 
     ``first`` marks words that begin a chain; there the forward value forgets what came before. Blocks of equal length
-    are scanned side by side: once for each block's transfer matrix, then from the values that enter each block.
+    are scanned side by side: once for each block's transfer matrix, then from the values that enter each block. With
+    many languages these matrices cost more than they save, and chains are scanned side by side instead.
     """
     n, k = emissions.shape
     if not n:
         return emissions.astype(np.float64)
+    if k > WIDE:
+        return _by_chains(emissions, first, start, step)
     width = max(1, int(np.sqrt(n)))
     blocks = -(-n // width)
     pad = blocks * width - n
@@ -149,6 +156,36 @@ def marginals(emissions: np.ndarray, first: np.ndarray, start: np.ndarray, step:
     return out / out.sum(1, keepdims=True)
 
 
+def _by_chains(emissions: np.ndarray, first: np.ndarray, start: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """The same probabilities, one step of all chains at a time."""
+    e = np.exp(np.clip(emissions - emissions.max(1, keepdims=True), -60, 0))
+    steps, starts = np.exp(step - step.max()), np.exp(start - start.max())
+    begins = np.unique(np.append(np.flatnonzero(first), 0))
+    lengths = np.diff(np.append(begins, len(e)))
+    order = np.argsort(-lengths, kind="stable")
+    begins, lengths = begins[order], lengths[order]
+    going = np.searchsorted(-lengths, -np.arange(lengths[0]), "left")  # chains longer than t
+    out, value = np.empty(e.shape), None
+    for t, some in enumerate(going.tolist()):
+        at = begins[:some] + t
+        value = (starts if value is None else value[:some] @ steps) * e[at]
+        value /= value.sum(1, keepdims=True)
+        out[at] = value
+    value = np.ones((len(begins), e.shape[1]))
+    for t in range(len(going) - 1, -1, -1):
+        at = begins[: going[t]] + t
+        out[at] *= value[: going[t]]
+        ahead = (e[at] * value[: going[t]]) @ steps.T
+        value[: going[t]] = ahead / ahead.sum(1, keepdims=True)
+    return out / out.sum(1, keepdims=True)
+
+
+def _log_product(scores: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """Logarithm of exp(scores) @ factors."""
+    most = scores.max(-1, keepdims=True)
+    return np.log(np.exp(scores - most) @ factors) + most
+
+
 def train(rows: list[tuple[str, str]], seed: int = 7) -> Field:
     """A field fitted to (text, language) rows by AdaGrad on the conditional likelihood of spliced sequences."""
     languages = sorted({language for _, language in rows})
@@ -162,8 +199,9 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Field:
     by = [[w for w, y in words if y == l] for l in range(k)]
     present = [l for l in range(k) if by[l]]
     vocabulary: dict[str, int] = {}
-    x, y = np.empty((SEQUENCES, STEPS), np.int64), np.empty((SEQUENCES, STEPS), np.int64)
-    for i in range(SEQUENCES):
+    sequences = max(SEQUENCES, -(-SEQUENCES * k // WIDE))
+    x, y = np.empty((sequences, STEPS), np.int64), np.empty((sequences, STEPS), np.int64)
+    for i in range(sequences):
         filled = 0
         while filled < STEPS:
             label = present[chance.integers(len(present))]
@@ -181,25 +219,29 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Field:
     first = np.zeros((1, STEPS), bool)
     first[0, 0] = True
     for _ in range(EPOCHS):
-        order = chance.permutation(SEQUENCES)
-        for some in np.array_split(order, max(1, SEQUENCES // 100)):
+        order = chance.permutation(sequences)
+        for some in np.array_split(order, max(1, sequences // 100)):
             xs, ys = x[some], y[some]
             used, inverse = np.unique(xs, return_inverse=True)
             inverse = inverse.reshape(-1)
             length = ends[used] - begins[used]
             inside = flat[np.arange(length.sum()) - np.repeat(np.cumsum(length) - length - begins[used], length)]
             owner = np.repeat(np.arange(len(used)), length)
-            scores = np.add.reduceat(weights[inside], np.cumsum(length) - length)
+            sums = [np.add.reduceat(weights[inside, l : l + WIDE], np.cumsum(length) - length) for l in range(0, k, WIDE)]
+            scores = np.concatenate(sums, 1)
             e = scores[inverse].reshape(len(some), STEPS, k)
-            alpha, beta = np.empty_like(e), np.zeros_like(e)
+            alpha, beta, steps = np.empty_like(e), np.zeros_like(e), np.exp(step)
             alpha[:, 0] = start + e[:, 0]
             for t in range(1, STEPS):
-                alpha[:, t] = e[:, t] + np.logaddexp.reduce(alpha[:, t - 1, :, None] + step, 1)
+                alpha[:, t] = e[:, t] + _log_product(alpha[:, t - 1], steps)
             for t in range(STEPS - 2, -1, -1):
-                beta[:, t] = np.logaddexp.reduce(step + (e[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
+                beta[:, t] = _log_product(e[:, t + 1] + beta[:, t + 1], steps.T)
             total = np.logaddexp.reduce(alpha[:, -1], 1)
             p = np.exp(alpha + beta - total[:, None, None])
-            pair = np.exp(alpha[:, :-1, :, None] + step + (e[:, 1:] + beta[:, 1:])[:, :, None, :] - total[:, None, None, None])
+            left, right = alpha[:, :-1].reshape(-1, k), (e[:, 1:] + beta[:, 1:]).reshape(-1, k)
+            tops = left.max(1, keepdims=True), right.max(1, keepdims=True)
+            scale = np.exp(tops[0] + tops[1] - np.repeat(total, STEPS - 1)[:, None])
+            pairs = steps * ((np.exp(left - tops[0]) * scale).T @ np.exp(right - tops[1]))
             p.reshape(-1, k)[np.arange(p.size // k), ys.ravel()] -= 1
             at = np.add.reduceat(p.reshape(-1, k)[np.argsort(inverse, kind="stable")], np.searchsorted(np.sort(inverse), np.arange(len(used))))
             seen = np.unique(inside)
@@ -209,32 +251,40 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Field:
             weights[seen] -= 0.15 * g / np.sqrt(square[0][seen])
             counts = np.zeros((k, k))
             np.add.at(counts, (ys[:, :-1].ravel(), ys[:, 1:].ravel()), 1)
-            for i, (value, g) in enumerate(((start, p[:, 0].mean(0)), (step, (pair.sum((0, 1)) - counts) / len(some) + 1e-3 * step)), 1):
+            for i, (value, g) in enumerate(((start, p[:, 0].mean(0)), (step, (pairs - counts) / len(some) + 1e-3 * step)), 1):
                 square[i] += g * g
                 value -= 0.1 * g / np.sqrt(square[i])
     return Field(languages, weights.astype(np.float32), start, step)
 
 
-def training_rows(labelled: DataFrame, texts_each: int = TEXTS_EACH, most_languages: int = MOST_LANGUAGES) -> list[tuple[str, str]]:
-    """A bounded sample (text, lang): about ``texts_each`` rows of each of the most frequent languages, by a hash of doc_id.
+def training_rows(labelled: DataFrame, texts_each: int = TEXTS_EACH, most_texts: int = MOST_TEXTS) -> list[tuple[str, str]]:
+    """A bounded sample (text, lang) with every language that has a labelled row, by a hash of doc_id (of the text without one).
 
+    About ``texts_each`` rows of each language, or ``most_texts`` shared out equally if that is less, but one at least.
     Counts are taken over all rows; the hash decides who is in the sample, never a row's place.
     """
     named = labelled.filter("lang is not null and text is not null")
-    counts = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    counts = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}
     if not counts:
         return []
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, texts_each / r["count"]))])
-    point = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 40)) / float(1 << 40)
-    rows = named.filter(point < F.element_at(share, F.col("lang"))).select("doc_id", "text", "lang").limit(2 * texts_each * len(counts)).collect()
-    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["doc_id"] or 0, r["lang"], r["text"]))]
+    each = min(texts_each, max(1, most_texts // len(counts)))
+    shares = labelled.sparkSession.createDataFrame([(lang, min(1.0, each / n)) for lang, n in counts.items()], "lang string, share double")
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text", F.lit("language"))).otherwise(F.xxhash64("doc_id", F.lit("language")))
+    point = F.pmod(key, F.lit(1 << 40)) / float(1 << 40)
+    chosen = named.select("doc_id", "text", "lang").join(F.broadcast(shares), "lang").filter(point < F.col("share"))
+    rows = [(r["doc_id"], r["lang"], r["text"]) for r in chosen.limit(2 * each * len(counts)).collect()]
+    lacking = sorted(counts.keys() - {lang for _, lang, _ in rows})
+    for at in range(0, len(lacking), 1000):
+        one = named.filter(F.col("lang").isin(lacking[at : at + 1000])).groupBy("lang").agg(F.min(F.struct("doc_id", "text")).alias("row"))
+        rows += [(r["row"]["doc_id"], r["lang"], r["row"]["text"]) for r in one.collect()]
+    return [(text, lang) for _, lang, text in sorted(rows, key=lambda r: (r[0] or 0, r[1], r[2]))]
 
 
 class _Scorer:
     """Predictions for blocks of texts; the scores of words met before are kept, up to ``most_words`` of them."""
 
     def __init__(self, model: Field, most_words: int):
-        self.model, self.most_words = model, most_words
+        self.model, self.most_words = model, most_words * WIDE // max(WIDE, len(model.languages))
         self.forget()
 
     def forget(self) -> None:
@@ -274,14 +324,14 @@ class _Scorer:
 
 def _predictions(model: Field, most_words: int = 200_000) -> callable:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
-        scorer = _Scorer(model, most_words)
+        scorer, most = _Scorer(model, most_words), 1_000_000 * WIDE // max(WIDE, len(model.languages))
         for whole in batches:
             for begin in range(0, whole.num_rows, 256):
                 batch = whole.slice(begin, 256)
                 texts, found, at = batch["text"].to_pylist(), [], 0
-                while at < len(texts):  # about a million characters together
+                while at < len(texts):  # about a million characters together, fewer with many languages
                     end, size = at, 0
-                    while end < len(texts) and (end == at or size < 1_000_000):
+                    while end < len(texts) and (end == at or size < most):
                         size += len(texts[end] or "")
                         end += 1
                     found += scorer.score(texts[at:end])

@@ -111,3 +111,45 @@ def test_neighbour_graph(spark):
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert hits >= 0.9 * sum(map(len, want.values()))
     assert neighbour_graph.nearest(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_chains_side_by_side_agree_with_blocks(monkeypatch):
+    chance = np.random.default_rng(6)
+    for n in (1, 2, 50, 300):
+        e, start, step = 3 * chance.normal(size=(n, 5)), chance.normal(size=5), chance.normal(size=(5, 5))
+        first = chance.random(n) < 0.1
+        first[0] = True
+        monkeypatch.setattr(language_id, "WIDE", 64)
+        want = language_id.marginals(e, first, start, step)
+        monkeypatch.setattr(language_id, "WIDE", 4)
+        assert np.allclose(language_id.marginals(e, first, start, step), want)
+
+
+def made_languages(number, texts, seed):
+    """(text, language) rows of languages with words of their own."""
+    chance = random.Random(seed)
+    words = {f"l{i:03}": ["".join(random.Random(f"{i} {j}").choices("abcdefghijklmnopqrstuvwxyz", k=7)) for j in range(12)] for i in range(number)}
+    return [(" ".join(chance.choices(words[name], k=30)), name) for name in words for _ in range(texts)]
+
+
+def test_every_labelled_language_can_be_found(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SEQUENCES", 400)
+    rows = [*made_languages(70, 3, 1), *made_languages(1, 40, 3)]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    sample = language_id.training_rows(frame)
+    assert sorted(sample) == sorted(rows)
+    model = language_id.train(sample)
+    new = made_languages(70, 1, 2)
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(new)], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(docs, model).collect()}
+    assert [got[i] for i in range(70)] == [name for _, name in new]
+    assert language_id.keep_identified(docs, model).count() == 70
+
+
+def test_training_sample_is_bounded_by_its_rows(spark):
+    rows = [(None if i % 9 == 0 else i, f"text {i}", f"l{i % 90}") for i in range(9000)] + [(1, "same", "twin")] * 500
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for most in (20, 400):
+        sample = language_id.training_rows(frame, most_texts=most)
+        assert {name for _, name in sample} == {r[2] for r in rows} and len(sample) <= 2 * max(91, most) + 91
+    assert sorted(language_id.training_rows(frame, 10, 400)) == sorted(language_id.training_rows(frame.repartition(7), 10, 400))
