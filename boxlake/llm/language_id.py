@@ -28,11 +28,11 @@ TEXTS_EACH, MOST_TEXTS = 300, 19_200
 SEQUENCES, STEPS, EPOCHS = 2500, 64, 3
 #: With more languages, sequences grow in number, and blocks of words and texts shrink, in proportion.
 WIDE = 64
-_WORD = re.compile(r"[^\W\d_]+")
+#: A run of letters is cut into pieces of at most so many, each a word of its own in the chain.
+LONGEST = 40
+_WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
 
 
-#: Words longer than this count by their two ends.
-LONGEST = 40
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -52,7 +52,6 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    words = [w if len(w) <= LONGEST else w[: LONGEST // 2] + w[-(LONGEST // 2) :] for w in words]
     size = np.fromiter(map(len, words), np.int64, len(words))
     codes = np.frombuffer(("<" + "><".join(words) + ">").encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
     ends = np.cumsum(size + 2)

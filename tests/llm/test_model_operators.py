@@ -153,3 +153,14 @@ def test_training_sample_is_bounded_by_its_rows(spark):
         sample = language_id.training_rows(frame, most_texts=most)
         assert {name for _, name in sample} == {r[2] for r in rows} and len(sample) <= 2 * max(91, most) + 91
     assert sorted(language_id.training_rows(frame, 10, 400)) == sorted(language_id.training_rows(frame.repartition(7), 10, 400))
+
+
+def test_long_runs_of_letters_are_read_whole(spark):
+    chance = random.Random(9)
+    run = lambda letters, n: "".join(chance.choices(letters, k=n))
+    model = language_id.train([(run(letters, 600), name) for letters, name in (("abcdefgh", "one"), ("mnopqrst", "two")) for _ in range(40)])
+    texts = [run("abcdefgh", 60) + run("mnopqrst", 10_000) + run("abcdefgh", 60), run("mnopqrst", 30) + run("abcdefgh", 300) + run("mnopqrst", 30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(docs, model).collect()}
+    assert got[0][0] == "two" and got[1][0] == "one" and got[0][1] > 0.9 and 0.6 < got[1][1] < 0.95
+    assert "".join(language_id._WORD.findall(texts[0])) == texts[0]
