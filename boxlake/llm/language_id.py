@@ -298,6 +298,7 @@ class _Scorer:
         self.known.update(zip(new, range(at, at + len(new)), strict=True))
 
     def score(self, texts: list[str | None]) -> list[tuple]:
+        """Language, its share, all shares and the mean of each word's largest probability, for every text."""
         if len(self.known) > self.most_words:
             self.forget()
         split = [_WORD.findall(text.lower()) if text else [] for text in texts]
@@ -309,15 +310,16 @@ class _Scorer:
         first[starts[lengths > 0]] = True
         k = len(self.model.languages)
         p = marginals(self.emissions[flat].astype(np.float64), first, self.model.start, self.model.step)
+        sure = np.concatenate([np.zeros(1), np.cumsum(p.max(1))])
         p = np.concatenate([np.zeros((1, k)), np.cumsum(p, 0)])
         out = []
         for a, n in zip(starts.tolist(), lengths.tolist(), strict=True):
             if not n:
-                out.append((UNDETERMINED, 0.0, [0.0] * k))
+                out.append((UNDETERMINED, 0.0, [0.0] * k, 0.0))
                 continue
             share = (p[a + n] - p[a]) / n
             best = int(share.argmax())
-            out.append((self.model.languages[best], float(min(1.0, max(0.0, share[best]))), share.tolist()))
+            out.append((self.model.languages[best], float(min(1.0, max(0.0, share[best]))), share.tolist(), float((sure[a + n] - sure[a]) / n)))
         return out
 
 
@@ -352,22 +354,25 @@ def identify(docs: DataFrame, model: Field) -> DataFrame:
 
     def rows(batches):
         for batch, found in predict(batches):
-            yield from ((doc_id, *f) for doc_id, f in zip(batch["doc_id"].to_pylist(), found, strict=True))
+            yield from ((doc_id, *f[:3]) for doc_id, f in zip(batch["doc_id"].to_pylist(), found, strict=True))
 
     given = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return given.mapInArrow(lambda b: packed(rows(b), schema), "doc_id long, lang_pred string, score double, shares array<double>")
 
 
 def keep_identified(docs: DataFrame, model: Field, least_score: float = 0.35) -> DataFrame:
-    """Rows of ``docs``, all columns as they are, whose text has a language with at least ``least_score``.
+    """Rows of ``docs``, all columns as they are, whose words have languages: the mean of each word's largest probability
+    is at least ``least_score``, and the largest share is not of ``und``.
 
-    Null texts and texts without a letter are rejected. No other column decides, whatever its name.
+    A text in several languages stays, however small the share of each. Null texts and texts without a letter are
+    rejected. A model that has learned no language (no row was labelled) can judge no text: all with a letter stay. No
+    other column decides, whatever its name.
     """
-    predict = _predictions(model)
+    predict, judges = _predictions(model), model.languages != [UNDETERMINED]
 
     def rows(batches):
         for batch, found in predict(batches):
-            yield batch.filter(pa.array([f[0] != UNDETERMINED and f[1] >= least_score for f in found], pa.bool_()))
+            yield batch.filter(pa.array([sure >= least_score and (lang != UNDETERMINED or not judges) for lang, _, _, sure in found], pa.bool_()))
 
     return docs.mapInArrow(rows, docs.schema)
 

@@ -10,7 +10,7 @@ from boxlake.llm.queries import digests, language_model
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a language, or with too small a share of any one, go. The model learns from the documents at hand."""
+    """Texts without a language, or whose words are in doubt, go. The model learns from the documents at hand; without labels it judges none."""
     return language_id.keep_identified(docs, language_model(docs))
 
 

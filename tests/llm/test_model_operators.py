@@ -164,3 +164,21 @@ def test_long_runs_of_letters_are_read_whole(spark):
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(docs, model).collect()}
     assert got[0][0] == "two" and got[1][0] == "one" and got[0][1] > 0.9 and 0.6 < got[1][1] < 0.95
     assert "".join(language_id._WORD.findall(texts[0])) == texts[0]
+
+
+def test_texts_in_several_languages_stay(spark):
+    model = language_id.train(made_languages(5, 20, 1))
+    parts = [t for t, _ in made_languages(5, 1, 2)]
+    doubt = language_id.Field(["a", "b", "c", "d"], np.zeros((1 << language_id.BITS, 4), np.float32), np.zeros(4), np.zeros((4, 4)))
+    docs = spark.createDataFrame([(1, " ".join(parts)), (2, parts[0]), (3, None), (4, "12 !")], "doc_id long, text string")
+    shares = {r["doc_id"]: r["score"] for r in language_id.identify(docs, model).collect()}
+    assert shares[1] < 0.35 < shares[2]
+    assert sorted(r["doc_id"] for r in language_id.keep_identified(docs, model).collect()) == [1, 2]
+    assert language_id.keep_identified(docs, doubt).count() == 0  # each word may be of any language
+
+
+def test_without_labels_all_texts_with_letters_stay(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, None, "en"), (3, "7", None), (4, "autres mots", None)], "doc_id long, text string, lang string")
+    model = language_id.train(language_id.training_rows(docs))
+    assert sorted(r["doc_id"] for r in language_id.keep_identified(docs, model).collect()) == [1, 4]
+    assert {r["lang_pred"] for r in language_id.identify(docs, model).collect()} == {"und"}
