@@ -36,7 +36,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("private", private), ("mixture", mixture), ("tokens", tokens)]
 
-#: Learned languages, near copies and ids are beyond SQL; tests hold every stage against a plain version.
+#: Learned languages, near copies and ids are beyond SQL; tests/llm/test_pipeline.py holds the stages together against plain ones.
 ORACLE_SQL = None
 
 
