@@ -3,7 +3,7 @@
 Equal vectors are one node. A first graph comes from bounded blocks of nodes on the same sides of random hyperplanes.
 Then, round by round, the neighbours of a node, in both directions, are joined with their vectors and compared with each
 other: a neighbour of a neighbour is often a nearer neighbour. Pairs that were compared before are left out, and only the
-best proposals leave a task. A query walks the graph greedily: all open nodes of its beam are joined with their neighbours,
+best proposals leave a task. Rounds end when hardly any neighbour changes. A query walks the graph greedily: all open nodes of its beam are joined with their neighbours,
 unseen ones with their vectors, and the beam keeps the nearest, until none is open.
 """
 
@@ -19,13 +19,15 @@ from pyspark.sql import functions as F
 from boxlake.llm.common import grouped, packed, rows_of, stored
 from boxlake.llm.vectors import matrix, sampled, vector_rows
 
-#: Neighbours of a node, and reverse neighbours used with them; rounds of NN-descent; nodes that a query's beam holds.
-NEIGHBOURS, REVERSE, ROUNDS, BEAM = 24, 24, 3, 160
+#: Neighbours of a node, and reverse neighbours used with them; nodes that a query's beam holds.
+NEIGHBOURS, REVERSE, BEAM = 24, 24, 160
+#: NN-descent ends after a round that changed at most this share of all neighbours, and after so many rounds at the latest.
+SETTLED, ROUNDS = 0.01, 30
 #: First graph: so many sets of blocks, of about so many nodes each.
 SETS, BLOCK = 4, 512
 _SAMPLE = 4096
-_GRAPH = "id long, near binary, far binary, fresh binary"
-_GRAPH_ARROW = pa.schema([("id", pa.int64()), ("near", pa.binary()), ("far", pa.binary()), ("fresh", pa.binary())])
+_GRAPH = "id long, near binary, far binary, fresh binary, changed int"
+_GRAPH_ARROW = pa.schema([("id", pa.int64()), ("near", pa.binary()), ("far", pa.binary()), ("fresh", pa.binary()), ("changed", pa.int32())])
 _OFFERS = "id long, near binary, far binary"
 _OFFERS_ARROW = pa.schema([("id", pa.int64()), ("near", pa.binary()), ("far", pa.binary())])
 
@@ -113,8 +115,8 @@ def _first_graph(nodes: DataFrame, count: int, centre: np.ndarray, keep: int, se
 
 
 def _merged(graph: DataFrame | None, offers: DataFrame, keep: int) -> DataFrame:
-    """The graph with offers taken in; neighbours that were not there before are marked fresh."""
-    both = offers.select(*[c.split()[0] for c in _OFFERS.split(", ")], F.lit(None).cast("binary").alias("fresh"))
+    """The graph with offers taken in; neighbours that were not there before are marked fresh, and counted as changed."""
+    both = offers.select(*[c.split()[0] for c in _OFFERS.split(", ")], F.lit(None).cast("binary").alias("fresh"), F.lit(None).cast("int").alias("changed"))
     both = both if graph is None else graph.union(both)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -125,7 +127,8 @@ def _merged(graph: DataFrame | None, offers: DataFrame, keep: int) -> DataFrame:
             order = np.lexsort((fresh, near, far))  # of equal pairs the one seen before stays
             _, first = np.unique(near[order], return_index=True)
             best = order[np.sort(first)[:keep]]
-            yield node, near[best].tobytes(), far[best].tobytes(), fresh[best].tobytes()
+            before = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(r[1], np.int64) for r in rows if r[3] is not None]])
+            yield node, near[best].tobytes(), far[best].tobytes(), fresh[best].tobytes(), int((~np.isin(near[best], before)).sum())
 
     dealt = both.repartition("id").sortWithinPartitions("id")
     return dealt.mapInArrow(lambda b: packed(merge(b), _GRAPH_ARROW), _GRAPH)
@@ -183,15 +186,19 @@ def _descent(graph: DataFrame, nodes: DataFrame, keep: int, reverse: int) -> Dat
 
 
 def build_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, reverse: int = REVERSE, rounds: int = ROUNDS, seed: int = 11) -> DataFrame:
-    """id, near (neighbour ids), far (squared distances) and fresh of every node that has a neighbour.
+    """id, near (neighbour ids), far (squared distances), fresh and changed of every node that has a neighbour.
 
-    ``nodes`` (id, dim, vec) are distinct vectors of one length, already stored. Each round is written to the shared folder.
+    ``nodes`` (id, dim, vec) are distinct vectors of one length, already stored. Each round is written to the shared folder;
+    there are at most ``rounds``, fewer if the neighbours settle.
     """
     count = nodes.count()
     some = matrix([r["vec"] for r in sampled(nodes.withColumnRenamed("id", "vec_id"), _SAMPLE, "centre").collect()])
     graph = stored(_merged(None, _first_graph(nodes, count, some.mean(0), neighbours, seed), neighbours), "graph")
     for _ in range(rounds):
         graph = stored(_merged(graph, _descent(graph, nodes, neighbours, reverse), neighbours), "graph")
+        changed = graph.agg(F.sum("changed") / F.sum(F.length("near") / 8)).first()[0]
+        if (changed or 0) <= SETTLED:
+            break
     return graph
 
 

@@ -182,3 +182,23 @@ def test_without_labels_all_texts_with_letters_stay(spark):
     model = language_id.train(language_id.training_rows(docs))
     assert sorted(r["doc_id"] for r in language_id.keep_identified(docs, model).collect()) == [1, 4]
     assert {r["lang_pred"] for r in language_id.identify(docs, model).collect()} == {"und"}
+
+
+def test_descent_finds_neighbours_beyond_the_first_blocks(spark, monkeypatch):
+    chance = np.random.default_rng(8)
+    rows = [(i, x.tolist()) for i, x in enumerate(chance.normal(size=(1500, 6)).astype(np.float32))]
+    monkeypatch.setattr(neighbour_graph, "BLOCK", 8)
+    monkeypatch.setattr(neighbour_graph, "SETS", 2)
+    vectors = neighbour_graph.vector_rows(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), zeros=False)
+    nodes = neighbour_graph.stored(neighbour_graph._nodes(vectors), "graph-nodes")
+    x = np.array([v for _, v in rows], np.float64)
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
+    np.fill_diagonal(d, np.inf)
+    want = np.argsort(d, 1)[:, :8]
+
+    def recall(rounds):
+        graph = neighbour_graph.build_graph(nodes, 8, 8, rounds=rounds).collect()
+        return sum(len(set(np.frombuffer(r["near"], np.int64).tolist()) & set(want[r["id"]].tolist())) for r in graph) / want.size
+
+    found = [recall(rounds) for rounds in (0, 3, neighbour_graph.ROUNDS)]
+    assert found[0] < 0.3 and found[1] < 0.85 and found[2] > 0.9, found
