@@ -12,7 +12,10 @@ from boxlake.llm import (
     mixing,
     neighbour_graph,
     ngram_join,
+    periodic_runs,
+    prefix_trie,
     private_data,
+    simhash,
     token_counts,
     token_files,
     toxicity,
@@ -186,3 +189,50 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.find_runs(periodic_runs.with_planted_periods(table(spark, folder, "documents")))
+    best = periodic_runs.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000L div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query()
+def op12_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_components(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+_TRIE_SQL = """
+WITH given AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'d': md5(strlen(r) || ':' || r || t), 'n': length(t)} ORDER BY turn NULLS FIRST, md5(strlen(r) || ':' || r || t)) AS turns FROM given GROUP BY conv_id),
+-- CRC-32 bit by bit: each digit enters with its first bit, and seven zeros follow
+sums AS (SELECT *, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+        lambda acc, b: CASE WHEN xor(acc, b) % 2 = 1 THEN xor(xor(acc, b) // 2, 3988292384) ELSE xor(acc, b) // 2 END) AS crc FROM own),
+hashed AS (SELECT conv_id, turns, xor(crc, 4294967295) % 6 AS h FROM sums),
+rebuilt AS (SELECT o.conv_id, list_concat(coalesce(b.turns[:o.h], []), o.turns[o.h + 1:]) AS path
+        FROM hashed o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+places AS (SELECT conv_id, path, unnest(range(len(path) + 1)) AS depth FROM rebuilt),
+keyed AS (SELECT conv_id, depth, len(path) = depth AS ends, array_to_string(list_transform(path[:depth], lambda x: x.d), '') AS key, coalesce(path[depth].n, 0) AS chars FROM places),
+nodes AS (SELECT key, depth, min(conv_id) AS least, count(*) AS n, (count(*) - 1) * any_value(chars) AS own,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends FROM keyed GROUP BY key, depth),
+kids AS (SELECT left(key, 32 * (depth - 1)) AS key, count(*) AS kids FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT nodes.*, coalesce(kids, 0) AS kids FROM nodes LEFT JOIN kids USING (key)),
+up AS (SELECT own, kids, left(key, 32 * unnest(range(depth + 1))) AS key FROM full_nodes),
+trees AS (SELECT key, count(*) FILTER (kids = 0) AS leaves, sum(own) AS saved FROM up GROUP BY key)
+SELECT x.least AS conv_id, CAST(x.depth AS BIGINT) AS depth, p.least AS parent_conv_id, CAST(x.n AS BIGINT) AS n_convs, CAST(x.kids AS BIGINT) AS n_children,
+    CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, x.ends AS ends_sha256
+FROM full_nodes x JOIN trees USING (key) LEFT JOIN nodes p ON x.depth > 0 AND p.key = left(x.key, 32 * (x.depth - 1))
+"""
+
+
+@query(_TRIE_SQL)
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    lists = prefix_trie.turn_lists(table(spark, folder, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_openings(lists, prefix_trie.opening_turns(F.col("conv_id"))))

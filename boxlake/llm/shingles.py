@@ -56,6 +56,19 @@ def _pieces(text: bytes) -> list[bytes]:
     return out
 
 
+def folded_pieces(text: bytes) -> list[bytes]:
+    """A text with A-Z lower-cased and separators as spaces, cut into pieces at spaces."""
+    return _pieces(text.translate(_FOLD))
+
+
+_SPLIT = bytes(32 if 9 <= c <= 13 else c for c in range(256))
+
+
+def word_pieces(text: bytes) -> list[bytes]:
+    """A text with separators as spaces, cut into pieces at spaces."""
+    return _pieces(text.translate(_SPLIT))
+
+
 def shingle_sets(texts: list[str | None], n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all sets, each sorted and without repeats, and the sets' offsets.
 
