@@ -60,13 +60,17 @@ def _case(text: str, pick: int) -> str:
 _CLASSED = f"SELECT *, {_case('text', 0)} AS status, {_case('text', 1)} AS reason FROM ({_ARCHIVE}) WHERE flag"
 
 
-def archive(spark, folder):
+def archive_rows(spark, folder):
     """Player-games; the flag is null where the early seasons had none."""
     orders = table(spark, folder, "orders")
     orders.createOrReplaceTempView("boxlake_orders")
     raw = spark.sql(_ARCHIVE.replace("FROM orders", "FROM boxlake_orders"))
     flag = F.when(F.col("flag"), True)
-    return normalize(raw.withColumns({"did_not_play": flag, "reason": F.col("text")}), keep=("source_file",))
+    return raw.withColumns({"did_not_play": flag, "reason": F.col("text")})
+
+
+def archive(spark, folder):
+    return normalize(archive_rows(spark, folder), keep=("source_file",))
 
 
 @query(f"SELECT doc_id, {_case('text', 0)} AS status, {_case('text', 1)} AS category FROM documents")

@@ -87,17 +87,17 @@ def box_score_pages(spark, folder, orders=None, broken: bool = False):
 _BROKEN = "(o_orderstatus = 'O' AND o_orderpriority = '1-URGENT')"
 
 
-def _rows_sql(where: str = "true") -> str:
+def _rows_sql(where: str = "true", files: str = _FILES) -> str:
     common = "'Team & ' || code AS team, code AS team_code, 'FG' AS period, 'Ref ' || o_orderpriority || '|Ref ' || o_orderstatus AS crew"
     return f"""
 SELECT file_name, 0 AS table_pos, 0 AS row_pos, 'Player ' || o_custkey AS player, 'c' || o_custkey AS player_id,
        CAST(floor(o_totalprice / 10000) AS BIGINT) || ':' || strftime(o_orderdate, '%m') AS mp,
        CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS VARCHAR) AS pts, {common}
-FROM ({_FILES}) WHERE {where}
+FROM ({files}) WHERE {where}
 UNION ALL
-SELECT file_name, 0, 2, 'Bench', 'o' || o_orderkey, 'Did Not Play', NULL, {common} FROM ({_FILES}) WHERE {where}
+SELECT file_name, 0, 2, 'Bench', 'o' || o_orderkey, 'Did Not Play', NULL, {common} FROM ({files}) WHERE {where}
 UNION ALL
-SELECT file_name, 0, 3, 'Pending', 'p1', 'DNP', 'DNP', {common} FROM ({_FILES}) WHERE o_orderstatus = 'P' AND {where}
+SELECT file_name, 0, 3, 'Pending', 'p1', 'DNP', 'DNP', {common} FROM ({files}) WHERE o_orderstatus = 'P' AND {where}
 """
 
 
@@ -156,7 +156,8 @@ def _ingest(spark, folder) -> str:
     schema = table(spark, folder, "orders").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(folder)
     pages = box_score_pages(spark, folder, with_file_name(stream), broken=True)
-    drain(pages, root)
+    # one file holds all orders, so its pages are dealt out before they are parsed
+    drain(pages, root, partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
     return root
 
 

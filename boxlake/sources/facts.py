@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxlake.fixed_values import ABSENCE_COLUMNS, AVAILABILITY_COLUMNS, CSV_COLUMNS
 from boxlake.functions.links import decode_file_name
 from boxlake.functions.seasons import season_label
-from boxlake.leagues import League
+from boxlake.leagues import League, league, league_keys
 from boxlake.schemas import BOX_SCORE, SCHEDULE, columns, struct
 
 _CSV = {"header": True, "nullValue": "", "emptyValue": "", "escape": '"'}
@@ -19,6 +19,15 @@ def with_season(fact: DataFrame, league: League) -> DataFrame:
     return fact.withColumn("season", season_label(date, league.spans_years))
 
 
+def season_of_file(key: Column, file_name: Column) -> Column:
+    """Season of a box-score file of the league ``key``; null if the name is not one of its names."""
+    season = F.lit(None).cast("int")
+    for mine in map(league, league_keys()):
+        date = F.try_to_date(decode_file_name(mine, file_name)["date"], "yyyyMMdd")
+        season = F.when(key == mine.key, season_label(date, mine.spans_years)).otherwise(season)
+    return season
+
+
 def write_box_scores(fact: DataFrame, path: str, league: League, mode: str = "overwrite") -> None:
     """Partitioned by league and season, so that a season's readers skip the rest. Seasons not in ``fact`` stay."""
     writer = with_season(fact, league).write.mode(mode).option("partitionOverwriteMode", "dynamic")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boxlake.functions.links import BOX_SCORE, PLAY_BY_PLAY, file_glob, file_pattern, file_year
 from boxlake.leagues import League
 from boxlake.schemas import RAW_PAGE, columns
+from boxlake.sources.named_files import live_folders
 
 
 def _name_of(path) -> F.Column:
@@ -18,15 +19,19 @@ def _name_of(path) -> F.Column:
 def read_raw_pages(
     spark: SparkSession, folder: str, league: League, kind: str = BOX_SCORE, years: list[int] | None = None
 ) -> DataFrame:
-    """Pages of one league and kind at the top level of a folder; none if the folder is missing.
+    """Pages of one league and kind at the top level of a folder, or in the folders that its manifest names; none if it
+    is missing.
 
     The glob prunes the listing, by calendar years too if given, before any content is read; the
     league's whole-name pattern then decides, so another league's page or a play-by-play page is
     never taken for a box score. Content is read only if used.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", file_glob(league, kind, years))
+    folders = live_folders(spark, folder)
+    if not folders:
+        return spark.createDataFrame([], RAW_PAGE)
     try:
-        files = reader.load(folder)
+        files = reader.load(folders)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing.getCondition()):
             raise
@@ -54,22 +59,25 @@ def read_play_by_play(
 def compact_raw_pages(
     pages: DataFrame, path: str, league: League, kind: str = BOX_SCORE, bytes_per_file: int = 128 * 1024 * 1024
 ) -> None:
-    """Write many small page files as few Parquet files by league and year.
+    """Write many small page files as few Parquet files by league, kind and year.
 
     A first look at the listing alone gives each year's size and so its number of files; pages are
     then dealt out by name, so the year that holds most pages is written by as many tasks as it
-    needs, and content is read once. Leagues and years that are not in ``pages`` stay as they are.
+    needs, one file each, and content is read once. Leagues, kinds and years that are not in
+    ``pages`` stay as they are.
     """
-    dated = pages.withColumn("year", file_year(league, F.col("file_name"), kind))
-    sizes = dated.groupBy("league", "year").agg(F.ceil(F.sum("length") / bytes_per_file).alias("_files"))
-    total = sizes.agg(F.sum("_files")).first()[0] or 1
+    dated = pages.withColumns({"kind": F.lit(kind), "year": file_year(league, F.col("file_name"), kind)})
+    sizes = dated.groupBy("league", "year").agg(F.greatest(F.ceil(F.sum("length") / bytes_per_file), F.lit(1)).alias("_files"))
     # a row per four-digit year
+    before = Window.orderBy("league", "year").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_first", F.coalesce(F.sum("_files").over(before), F.lit(0)))
+    total = sizes.agg(F.sum("_files")).first()[0] or 1
     placed = dated.join(F.broadcast(sizes), ["league", "year"]).withColumn(
-        "_slot", F.pmod(F.xxhash64("file_name"), F.greatest("_files", F.lit(1)))
+        "_slot", (F.col("_first") + F.pmod(F.xxhash64("file_name"), F.col("_files"))).cast("int")
     )
     (
-        placed.repartition(total, "league", "year", "_slot").drop("_files", "_slot")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("league", "year").parquet(path)
+        placed.repartitionById(total, "_slot").drop("_files", "_first", "_slot")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("league", "kind", "year").parquet(path)
     )
 
 

@@ -8,21 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxlake.fixed_values import ARCHIVE_COLUMNS, SEASON_FILE_PREFIX
+from boxlake.sources.named_files import live_folders, write_named_tables
 
 _SEASON_FILE = rf"^{SEASON_FILE_PREFIX}([0-9]+)\.parquet$"
 
 
+def _season_files(spark: SparkSession, folder: str) -> DataFrame:
+    """path and season of the season files of a folder; a listing, no file is opened."""
+    folders = live_folders(spark, folder)
+    if not folders:
+        return spark.createDataFrame([], "path string, season int")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"{SEASON_FILE_PREFIX}*.parquet").load(folders)
+    named = files.select("path", F.regexp_extract(F.element_at(F.split("path", "/"), -1), _SEASON_FILE, 1).alias("season"))
+    return named.where("season <> ''").select("path", F.col("season").cast("int").alias("season"))
+
+
 def read_season_files(
     spark: SparkSession, folder: str, start: int | None = None, end: int | None = None
 ) -> DataFrame:
     """All season files with ``source_file`` kept. The optional season range is inclusive and is
     applied to file names, so files outside it are not opened. No file at all is an error."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", f"{SEASON_FILE_PREFIX}*.parquet").load(folder)
-        .select("path", F.regexp_extract(F.element_at(F.split("path", "/"), -1), _SEASON_FILE, 1).alias("season"))
-        .where("season <> ''")
-        .select("path", F.col("season").cast("int").alias("season"))
-    )
+    files = _season_files(spark, folder)
     if start is not None:
         files = files.where(F.col("season") >= start)
     if end is not None:
@@ -46,11 +52,13 @@ def _merged(frames: list[DataFrame]) -> DataFrame:
 
 
 def season_list(spark: SparkSession, folder: str) -> DataFrame:
-    names = (
-        spark.read.format("binaryFile").option("pathGlobFilter", f"{SEASON_FILE_PREFIX}*.parquet").load(folder)
-        .select(F.regexp_extract(F.element_at(F.split("path", "/"), -1), _SEASON_FILE, 1).alias("season"))
-    )
-    return names.where("season <> ''").select(F.col("season").cast("int").alias("season")).orderBy("season")
+    return _season_files(spark, folder).select("season").orderBy("season")
+
+
+def write_season_files(rows: DataFrame, folder: str, season: str = "season") -> None:
+    """The rows of every season as one file named after it, beside the files that are there."""
+    name = F.concat(F.lit(SEASON_FILE_PREFIX), F.col(season).cast("string"), F.lit(".parquet"))
+    write_named_tables(rows.withColumn("file_name", name), folder)
 
 
 def write_archive(table: DataFrame, path: str) -> None:
