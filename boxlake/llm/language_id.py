@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxlake.llm.common import packed, rows_of
+from boxlake.llm.common import ending, packed, rows_of
 
 UNDETERMINED = "und"
 BITS = 17
@@ -30,7 +30,9 @@ SEQUENCES, STEPS, EPOCHS = 2500, 64, 3
 WIDE = 64
 #: A run of letters is cut into pieces of at most so many, each a word of its own in the chain.
 LONGEST = 40
-_WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
+#: Superscripts, fractions, Roman numerals and the like: "word characters" to a pattern, but no letters. None lie higher.
+_NUMBER_SIGNS = "".join(c for c in map(chr, range(0x80, 0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_WORD = re.compile(rf"[^\W\d_{_NUMBER_SIGNS}]{{1,{LONGEST}}}")
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -374,7 +376,7 @@ def keep_identified(docs: DataFrame, model: Field, least_score: float = 0.35) ->
         for batch, found in predict(batches):
             yield batch.filter(pa.array([sure >= least_score and (lang != UNDETERMINED or not judges) for lang, _, _, sure in found], pa.bool_()))
 
-    return docs.mapInArrow(rows, docs.schema)
+    return docs.mapInArrow(lambda b: ending(rows(b)), docs.schema)
 
 
 def labelled_fold(docs: DataFrame) -> DataFrame:

@@ -3,12 +3,12 @@
 1. Every text becomes a set of shingle hashes, seen only inside a task. Equal sets are one class. A sketch of fixed
    size counts shingles over all texts; it orders them from rare to frequent.
 2. Classes are partitioned into groups of similar texts: of its MinHash keys each class takes the one that most share, and
-   the classes of a key are a group. Members are compared with the leaders of bounded chunks, then the chunks' leaders with
-   each other; most groups of copies are connected by then.
+   the classes of a key are a group. Members are compared with the leaders of bounded chunks, then the chunks' leaders in
+   chunks of their own, until a group has one chunk or its leaders get no fewer; groups of copies are connected by then.
 3. The matrix holds, for every group, the tokens in its members' prefixes. A prefix is the rarest tokens of a set, so many
    that two sets over the threshold must share one. How many of a set's prefix tokens a group holds bounds the overlap with
-   any member; where the bound can reach the threshold, the set is a query to the group. So is every member of a group that
-   is not connected yet, to its own group.
+   any member; where the bound can reach the threshold, the set is a query to the group. In a group that is not connected
+   yet, so is every member outside its largest component, to its own group.
 4. Queries meet the members of their groups in chunks. A chunk's token union bounds the overlap again; only chunks that pass
    are opened, and members over the threshold link their components to the query's.
 
@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxlake.llm.common import broadcast_if_small, grouped, packed, rows_of, stored
+from boxlake.llm.common import broadcast_within, grouped, packed, rows_of, stored
 from boxlake.llm.components import connected_components
 from boxlake.llm.shingles import mix, shingle_sets
 
@@ -36,8 +36,8 @@ from boxlake.llm.shingles import mix, shingle_sets
 SKETCH_BITS, SLICE_BITS = 22, 6
 #: Grouping keys of each set, and MinHashes in each key.
 KEYS, ROWS = 4, 2
-#: Members of a chunk, on average; rows of ids that are broadcast at most.
-CHUNK, MOST_IDS = 256, 1_000_000
+#: Members of a chunk, on average; bytes of ids and their roles that are broadcast at most.
+CHUNK, MOST_BYTES = 256, 64 << 20
 _SMALL = 256  # texts that are hashed together
 
 
@@ -137,7 +137,7 @@ def _shared(a: np.ndarray, b: np.ndarray) -> int:
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """``wanted`` rows (doc_id, roles array of structs) with the set of their text as bytes, one row for each role."""
-    texts = docs.join(broadcast_if_small(wanted, MOST_IDS), "doc_id").select("doc_id", "text", "roles")
+    texts = docs.join(broadcast_within(wanted, MOST_BYTES), "doc_id").select("doc_id", "text", "roles")
     inner = wanted.schema["roles"].dataType.elementType
     arrow = pa.schema([("doc_id", pa.int64()), ("set", pa.binary()), *[(f.name, pa.int64()) for f in inner]])
 
@@ -190,17 +190,47 @@ def _groups(classes: DataFrame) -> DataFrame:
 
 
 def _similar_links(docs: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
-    """Links a, b inside groups: to a leader of the chunk, then between the chunks' leaders."""
+    """Links a, b inside groups: to a leader of the chunk, then to leaders of chunks of leaders, while a key's get half as many."""
     roles = groups.select("doc_id", F.array(F.struct("key", "chunk", "chunks")).alias("roles"))
-    first = _with_sets(docs, stored(roles, "join-keys"), rule.n)
-    out = "a long, b long, key long, set binary"
-    dealt = first.select("doc_id", "set", "key", "chunk", "chunks").repartition("key", "chunk").sortWithinPartitions("key", "chunk")
-    found = stored(dealt.mapInArrow(_group_chunks(rule), out), "join-groups")
-    leaders = found.filter("key is not null").select(F.col("a").alias("doc_id"), "set", "key")
-    again = _chunked(leaders.select("doc_id", "key")).join(leaders, ["doc_id", "key"]).withColumn("last", F.lit(1).cast("long"))
-    dealt = again.select("doc_id", "set", "key", "chunk", "last").repartition("key", "chunk").sortWithinPartitions("key", "chunk")
-    second = dealt.mapInArrow(_group_chunks(rule), out)
-    return found.filter("b is not null").select("a", "b").union(second.filter("b is not null").select("a", "b"))
+    dealt = _with_sets(docs, stored(roles, "join-keys"), rule.n).select("doc_id", "set", "key", "chunk", "chunks")
+    sizes, links = groups.select("key", "members").distinct(), None
+    while True:
+        placed = dealt.repartition("key", "chunk").sortWithinPartitions("key", "chunk")
+        found = stored(placed.mapInArrow(_group_chunks(rule), "a long, b long, key long, set binary"), "join-groups")
+        here = found.filter("b is not null").select("a", "b")
+        links = here if links is None else links.union(here)
+        leaders = found.filter("key is not null").select(F.col("a").alias("doc_id"), "set", "key")
+        fewer = leaders.groupBy("key").agg(F.count("*").alias("n")).join(sizes, "key").filter("2 * n <= members")
+        sizes = stored(fewer.select("key", F.col("n").alias("members")), "join-sizes")
+        if sizes.isEmpty():
+            return links
+        leaders = leaders.join(sizes.select("key"), "key", "left_semi")
+        dealt = _chunked(leaders.select("doc_id", "key")).join(leaders, ["doc_id", "key"]).select("doc_id", "set", "key", "chunk", "chunks")
+
+
+def _connected_groups(docs: DataFrame, groups: DataFrame, found: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """``found`` with more links inside groups, and the components that they make.
+
+    What members outside the largest component cost later is their number times the group's chunks. Where that is more
+    than a few times the group, its members are dealt into chunks anew, as long as that brings down their number.
+    """
+    salt, seen = 0, None
+    while True:
+        components = connected_components(found, "join-components")
+        named = groups.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id"))
+        shares = named.groupBy("key", "comp").agg(F.count("*").alias("n"), F.first("members").alias("members"), F.first("chunks").alias("chunks"))
+        strays = shares.groupBy("key").agg((F.first("members") - F.max("n")).alias("strays"), F.first("members").alias("members"), F.first("chunks").alias("chunks"))
+        often = stored(strays.filter("chunks > 1 and strays * chunks > 4 * members").select("key", "strays"), "join-strays")
+        total = often.agg(F.sum("strays")).first()[0]
+        if not total or (seen and 4 * total > 3 * seen):
+            return found, components
+        seen, salt = total, salt + 1
+        place = F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.col("chunks"))
+        roles = groups.join(often.select("key"), "key", "left_semi").select("doc_id", F.array(F.struct("key", place.alias("chunk"), F.lit(1).cast("long").alias("chunks"))).alias("roles"))
+        dealt = _with_sets(docs, stored(roles, "join-keys"), rule.n).select("doc_id", "set", "key", "chunk", "chunks")
+        dealt = dealt.repartition("key", "chunk").sortWithinPartitions("key", "chunk")
+        more = dealt.mapInArrow(_group_chunks(rule), "a long, b long, key long, set binary").filter("b is not null").select("a", "b")
+        found = found.union(stored(more, "join-links"))
 
 
 def _prefixes(docs: DataFrame, ranks: np.ndarray, rule: Rule) -> DataFrame:
@@ -278,28 +308,44 @@ def _queries(docs: DataFrame, named: DataFrame, ranks: np.ndarray, rule: Rule) -
     return open_ones.select("doc_id", "comp", "g", F.ceil(F.col("members") / CHUNK).cast("long").alias("chunks"))
 
 
-def _links_between(docs: DataFrame, classes: DataFrame, groups: DataFrame, components: DataFrame, ranks: np.ndarray, rule: Rule) -> DataFrame:
-    """Links a, b between classes of different components, at least one for every two that are linked."""
+def _named(classes: DataFrame, groups: DataFrame, components: DataFrame) -> DataFrame:
+    """Every class with its group (g, members, chunks, chunk) and component, the group's largest component, and its only one if so."""
     named = (
         classes.select("doc_id").distinct().join(groups, "doc_id", "left").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .select("doc_id", F.coalesce("key", "doc_id").alias("g"), F.coalesce("members", F.lit(1)).alias("members"),
                 F.coalesce("chunks", F.lit(1)).alias("chunks"), F.coalesce("chunk", F.lit(0)).alias("chunk"), F.coalesce("component", "doc_id").alias("comp"))
     )
-    ends = named.groupBy("g").agg(F.min("comp").alias("first"), F.max("comp").alias("last"))
-    whole = F.when(F.col("first") == F.col("last"), F.col("first")).alias("whole")  # the component of a connected group
-    named = stored(named.join(ends.select("g", whole), "g"), "join-named")
-
-    asked = stored(_queries(docs, named, ranks, rule), "join-asked")
-    inside = named.filter("whole is null")
-    targets = asked.select("g").union(inside.select("g")).distinct()
-    members = named.join(targets, "g").select("doc_id", "g", "chunk", F.lit(0).cast("long").alias("query"), "comp")
-    number = lambda start: F.explode(F.sequence(start, F.col("chunks") - 1)).alias("chunk")
-    one = F.lit(1).cast("long").alias("query")
-    queries = asked.select("doc_id", "g", number(F.lit(0).cast("long")), one, "comp").union(inside.select("doc_id", "g", number(F.col("chunk").cast("long")), one, "comp"))
-    roles = members.unionByName(queries).groupBy("doc_id").agg(F.collect_list(F.struct("g", "chunk", "query", "comp")).alias("roles"))
-    sets = _with_sets(docs, stored(roles, "join-roles"), rule.n)
-    dealt = sets.select("doc_id", "set", "g", "chunk", "query", "comp").repartition("g", "chunk").sortWithinPartitions("g", "chunk")
-    return dealt.mapInArrow(_open_groups(rule), "a long, b long")
+    shares = named.groupBy("g", "comp").agg(F.count("*").alias("n")).groupBy("g").agg(F.max(F.struct("n", "comp"))["comp"].alias("largest"), F.count("*").alias("comps"))
+    return stored(named.join(shares.select("g", "largest", F.when(F.col("comps") == 1, F.col("largest")).alias("whole")), "g"), "join-named")
+
+
+def _links_between(docs: DataFrame, classes: DataFrame, groups: DataFrame, found: DataFrame, components: DataFrame, ranks: np.ndarray, rule: Rule) -> DataFrame:
+    """Links a, b between classes of different components, at least one for every two that are linked.
+
+    Where those who ask would meet many chunks each, they meet one at first, as long as that leaves clearly fewer to ask.
+    """
+    named = _named(classes, groups, components)
+    asked = stored(_queries(docs, named, ranks, rule).select("doc_id", "g"), "join-asked")
+    salt, seen, links = 0, None, None
+    while True:
+        own, theirs = named.select("doc_id", "comp"), named.select("g", "chunks", "whole").distinct()
+        elsewhere = asked.join(own, "doc_id").join(theirs, "g").filter("whole is null or whole <> comp")
+        strays = named.filter("whole is null and comp <> largest")
+        asking = stored(elsewhere.select("doc_id", "g", "chunks", "comp").union(strays.select("doc_id", "g", "chunks", "comp")), "join-asking")
+        count, cost = asking.agg(F.count("*"), F.sum("chunks")).first()
+        last = not count or cost <= 8 * count or (seen is not None and 4 * cost > 3 * seen)
+        salt, seen = salt + 1, cost
+        one = F.array(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.col("chunks")))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1) if last else one).alias("chunk")
+        queries = asking.select("doc_id", "g", every, F.lit(1).cast("long").alias("query"), "comp")
+        members = named.join(asking.select("g").distinct(), "g").select("doc_id", "g", "chunk", F.lit(0).cast("long").alias("query"), "comp")
+        roles = members.unionByName(queries).groupBy("doc_id").agg(F.collect_list(F.struct("g", "chunk", "query", "comp")).alias("roles"))
+        sets = _with_sets(docs, stored(roles, "join-roles"), rule.n).select("doc_id", "set", "g", "chunk", "query", "comp")
+        opened = stored(sets.repartition("g", "chunk").sortWithinPartitions("g", "chunk").mapInArrow(_open_groups(rule), "a long, b long"), "join-between")
+        links = opened if links is None else links.union(opened)
+        if last:
+            return links
+        named = _named(classes, groups, connected_components(found.union(links), "join-components"))
 
 
 def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -323,8 +369,8 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     groups = stored(_groups(classes), "join-groups")
     found = stored(_similar_links(known, groups, rule), "join-links")
     same = copies.filter("doc_id <> class").select(F.col("class").alias("a"), F.col("doc_id").alias("b"))
-    components = connected_components(found, "join-components")
-    between = stored(_links_between(known, classes, groups, components, _ranks(written), rule), "join-between")
+    found, components = _connected_groups(known, groups, found, rule)
+    between = _links_between(known, classes, groups, found, components, _ranks(written), rule)
     reached = connected_components(found.union(between).union(same), "join-components")
     named = signed.select("doc_id", F.col("n").alias("n_shingles")).join(reached.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return named.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
@@ -338,7 +384,7 @@ def keep_first_of_groups(docs: DataFrame, rule: Rule = Rule(5, 80)) -> DataFrame
     """
     found = jaccard_components(docs, rule)
     gone = stored(found.filter("component_id <> doc_id").select("doc_id").distinct(), "join-gone")
-    known = docs.join(broadcast_if_small(gone, MOST_IDS), docs["doc_id"] == gone["doc_id"], "left_anti")
+    known = docs.join(broadcast_within(gone, MOST_BYTES), docs["doc_id"] == gone["doc_id"], "left_anti")
     repeated = stored(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "join-repeated")
     if repeated.isEmpty():
         return known

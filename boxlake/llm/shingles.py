@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
+from boxlake.llm.common import kept
+
 #: Texts are hashed in pieces of about so many bytes.
 PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -21,7 +21,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
+@kept
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for factor in (_BASE, _INVERSE):

@@ -10,12 +10,13 @@ import json
 import os
 import re
 import unicodedata
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from boxlake.llm.common import kept
+
 FILE = "word_bpe_49k.json"
 #: Below this code point characters are stable under NFC and stay there when lower-cased: plain patterns find the words.
 PLAIN_END = 0x180
@@ -80,7 +81,7 @@ class WordTokenizer:
         return [[special[w]] if w in special else next(found).ids for w in words]
 
 
-@lru_cache(maxsize=2)
+@kept
 def tokenizer(content: str) -> WordTokenizer:
     return WordTokenizer(content)
 
@@ -138,13 +139,13 @@ class Counter:
         return [sum(map(known.__getitem__, words)) for words in split]
 
 
-@lru_cache(maxsize=1)
+@kept
 def counter(content: str) -> Counter:
     """One table of words for each Python worker, kept from task to task."""
     return Counter(content)
 
 
-@lru_cache(maxsize=1)
+@kept
 def encoder(content: str) -> Encoder:
     """One table of words for each Python worker, kept from task to task."""
     return Encoder(content)

@@ -1,5 +1,6 @@
 """Language, toxicity, mixing and vector searches: held-out accuracy, plain versions, odd rows."""
 
+import itertools
 import math
 import os
 import random
@@ -202,3 +203,31 @@ def test_descent_finds_neighbours_beyond_the_first_blocks(spark, monkeypatch):
 
     found = [recall(rounds) for rounds in (0, 3, neighbour_graph.ROUNDS)]
     assert found[0] < 0.3 and found[1] < 0.85 and found[2] > 0.9, found
+
+
+def test_signs_for_numbers_are_no_letters(spark):
+    model = language_id.train(made_languages(3, 20, 1))
+    texts = ["²", "½ 10", "Ⅷ ³", "12 五", "x²", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(docs, model).collect()}
+    assert all(got[i] == ("und", 0.0) for i in (0, 1, 2, 5)) and all(got[i][0] != "und" for i in (3, 4))
+    assert all((got[i][0] == "und") == (not any(c.isalpha() for c in t or "")) for i, t in enumerate(texts))
+
+
+def test_whole_texts_are_predicted_from_path_sums(spark):
+    """Shares of languages over a text's words, from the sum over all paths of a given model."""
+    model = language_id.train(made_languages(3, 20, 1))
+    k = len(model.languages)
+    texts = [" ".join(t.split()[:5]) for t, _ in made_languages(3, 2, 2)] + ["aa bb", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in language_id.identify(docs, model).collect()}
+    for i, text in enumerate(texts):
+        words = language_id._WORD.findall(text.lower())
+        if not words:
+            continue
+        e, total = model.emissions(words).astype(float), np.zeros((len(words), k))
+        for path in itertools.product(range(k), repeat=len(words)):
+            weight = np.exp(model.start[path[0]] + sum(e[t, y] for t, y in enumerate(path)) + sum(model.step[a, b] for a, b in zip(path, path[1:], strict=False)))
+            total[np.arange(len(words)), path] += weight
+        share = (total / total.sum(1, keepdims=True)).mean(0)
+        assert got[i]["lang_pred"] == model.languages[int(share.argmax())] and abs(got[i]["score"] - share.max()) < 1e-4

@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,6 +135,36 @@ def test_ngram_join(spark, docs, odd, monkeypatch):
     assert ngram_join.jaccard_components(odd.limit(0)).count() == 0
 
 
+def test_rows_grow_with_a_family_not_with_its_pairs(spark, monkeypatch):
+    """Copies of one template, and some that stray: sets dealt to chunks grow as the copies do, and no link is lost."""
+    monkeypatch.setattr(ngram_join, "CHUNK", 4)
+    plain, dealt = ngram_join._with_sets, []
+
+    def counted(docs, wanted, n):
+        dealt.append(wanted.agg(F.sum(F.size("roles"))).first()[0] or 0)
+        return plain(docs, wanted, n)
+
+    monkeypatch.setattr(ngram_join, "_with_sets", counted)
+    sums = []
+    for size in (64, 256, 1024):
+        chance = random.Random(size)
+        template = [f"w{i}" for i in range(300)]
+        made = []
+        for i in range(size):
+            words = list(template)
+            for _ in range(chance.choice([1, 2, 3]) if i >= 4 else 11):
+                words[chance.randrange(300)] = f"v{chance.randrange(10**6)}"
+            made.append((i, " ".join(words)))
+        dealt.clear()
+        got = ngram_join.jaccard_components(spark.createDataFrame(made, "doc_id long, text string"))
+        if size < 1024:
+            assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_rows(made), key=str)
+        else:
+            got.count()
+        sums.append(sum(dealt))
+    assert sums[1] < 8 * sums[0] and sums[2] < 8 * sums[1], sums
+
+
 def test_near_duplicate_stage_keeps_one_of_each_group(spark, odd):
     kept = ngram_join.keep_first_of_groups(odd)
     assert kept.columns == odd.columns
@@ -253,3 +284,22 @@ def test_look_alikes(text, kind):
     for given in (text, f"so {text} there"):
         found = [given[a:b] for k, a, b in private_data.all_spans(given)[1] if k == kind]
         assert text in found
+
+
+@pytest.mark.parametrize("text", ["7" * 1_000_000, "one " * 250_000, "1." * 500_000, "a at b dot c " * 80_000, "+1(" * 300_000, "[ at " * 200_000])
+def test_very_long_texts_take_time_in_proportion(text):
+    import time
+
+    began = time.process_time()
+    private_data.all_spans(text[: len(text) // 4])
+    quarter = time.process_time() - began
+    began = time.process_time()
+    private_data.all_spans(text)
+    assert time.process_time() - began < max(2, 8 * quarter)
+
+
+def test_addresses_agree_with_the_contract_pattern():
+    chance, contract = random.Random(2), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    for _ in range(30000):
+        text = "".join(chance.choices("12.0 25x.", k=chance.randrange(1, 40)))
+        assert [m.span() for m in private_data._IP.finditer(text)] == [m.span() for m in contract.finditer(text)], text
