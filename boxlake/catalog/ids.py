@@ -69,7 +69,7 @@ FROM firsts WHERE key NOT IN (SELECT key FROM known)
 def stable_ids_first_seen(spark, folder):
     customers, orders = table(spark, folder, "customer"), table(spark, folder, "orders")
     building = customers.where("c_mktsegment = 'BUILDING'").select("c_custkey")
-    known = number_rows(building, [F.col("c_custkey")], "id").select(F.col("c_custkey").cast("string").alias("key"), "id")
+    known = number_rows(building, ["c_custkey"], "id").select(F.col("c_custkey").cast("string").alias("key"), "id")
     rows = orders.withColumn("key", F.col("o_custkey").cast("string"))
     return append_ids_first_seen(known, rows, "key", ["o_orderdate", "o_orderkey"])
 
@@ -105,4 +105,4 @@ def new_keys(spark, folder):
 
 @query(f"SELECT file_name, row_number() OVER (ORDER BY file_name) - 1 AS place FROM (SELECT DISTINCT file_name FROM ({_FILES}))")
 def file_order(spark, folder):
-    return number_rows(order_files(spark, folder).select("file_name").distinct(), [F.col("file_name")], "place")
+    return number_rows(order_files(spark, folder).select("file_name").distinct(), ["file_name"], "place")

@@ -39,7 +39,7 @@ def rate_window(spark, folder):
     """One budget per user: three requests a day, two hours apart."""
     return window_occupancy(
         table(spark, folder, "events"), by=("user_id",), window_seconds=86_400, capacity=3,
-        min_gap_seconds=7_200, slice_seconds=21_600,
+        min_gap_seconds=7_200,
     )
 
 
@@ -47,7 +47,7 @@ def rate_window(spark, folder):
 def rate_window_shared(spark, folder):
     """One budget for all requests."""
     return window_occupancy(
-        table(spark, folder, "events"), window_seconds=1_800, capacity=12, min_gap_seconds=60, slice_seconds=3_600
+        table(spark, folder, "events"), window_seconds=1_800, capacity=12, min_gap_seconds=60
     )
 
 

@@ -13,7 +13,7 @@ def append_ids(known: DataFrame, keys: DataFrame, order: list[str]) -> DataFrame
     """``known(key, id)`` plus every unseen row of ``keys(key, *order)``, numbered on in ``order``."""
     unseen = keys.join(known.select("key"), "key", "left_anti")
     next_id = F.coalesce(known.agg(F.max("id")).scalar(), F.lit(-1)) + 1
-    added = number_rows(unseen, [F.col(c).asc() for c in order], "_n")
+    added = number_rows(unseen, order, "_n")
     return known.select("key", "id").unionByName(
         added.select("key", (F.col("_n") + next_id).cast("long").alias("id"))
     )

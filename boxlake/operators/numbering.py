@@ -2,37 +2,59 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxlake.session import pin
+_DRAWN = 20  # sampled rows for each block
+
 
-_BLOCK_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
+def key_bounds(df: DataFrame, order: list[str], blocks: int) -> list[tuple]:
+    """Key values that cut the rows of ``df`` into blocks of about equal size, from one sample of bounded size.
+
+    The sample follows from the keys' hashes, so it is the same however the rows are laid out.
+    """
+    chance = df.select(*order).orderBy(F.xxhash64(*order), *order).limit(_DRAWN * blocks)
+    drawn = [tuple(r) for r in chance.orderBy(*order).collect()]
+    return list(dict.fromkeys(drawn[at * len(drawn) // blocks] for at in range(1, blocks))) if drawn else []
 
 
-def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Add ``name`` = 0, 1, 2, ... in ``order``, which must be unique per row.
+def block_of(df: DataFrame, order: list[str], bounds: list[tuple]) -> Column:
+    """How many of the sorted bounds are not above a row's key: literals of the plan, searched in two steps."""
+    kinds = dict(df.select(*order).dtypes)
+    fixed = [F.struct(*[F.lit(v).cast(kinds[c]).alias(c) for c, v in zip(order, bound, strict=True)]) for bound in bounds]
+    if not fixed:
+        return F.lit(0)
+    key, width = F.struct(*order), math.isqrt(len(fixed) - 1) + 1
+    nothing = F.slice(F.array(fixed[0]), 1, 0)
+    groups = [fixed[at : at + width] for at in range(0, len(fixed), width)]
+    ends = F.array(*[g[-1] for g in groups if len(g) == width]) if len(groups[0]) == width else nothing
+    # a full group's own end is above the key if the group is searched
+    inner = [F.array(*(g[:-1] if len(g) == width else g)) if len(g) > 1 or len(g) < width else nothing for g in groups]
+    passed = F.size(F.filter(ends, lambda bound: bound <= key))
+    return passed * width + F.size(F.filter(F.element_at(F.array(*inner, nothing), passed + 1), lambda bound: bound <= key))
 
-    Rows are range-partitioned and sorted; the place within a partition is known locally, and the
-    only thing brought together is one row count per partition. The ranged rows are pinned so that
-    counts and places come from the same layout even if a task is run again.
+
+def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Add ``name`` = 0, 1, 2, ... in ascending ``order``, which must be unique per row.
+
+    Bounds from one sample, fixed in the plan, deal rows into blocks of consecutive keys. The place within a block is known
+    locally, and the only thing brought together is one row count per block. Both follow from the bounds and the rows alone,
+    so a task that is run again finds the same numbers, and nothing has to be written in between. Only the sample is
+    taken at once.
     """
     blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = pin(
-        df.repartitionByRange(blocks, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .withColumn("_block", F.shiftright("_place", _BLOCK_BITS))
-    )
+    placed = df.withColumn("_block", block_of(df, order, key_bounds(df, order, blocks)))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_block").agg(F.count("*").alias("_size"))
         .select("_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     )
-    within = F.col("_place") - F.shiftleft("_block", _BLOCK_BITS)
+    within = F.row_number().over(Window.partitionBy("_block").orderBy(*order))
     # offsets holds at most one row per shuffle partition
     return (
-        placed.join(F.broadcast(offsets), "_block")
-        .withColumn(name, F.col("_offset") + within)
+        placed.withColumn("_place", within).join(F.broadcast(offsets), "_block")
+        .withColumn(name, F.col("_offset") + F.col("_place") - 1)
         .drop("_block", "_place", "_offset")
     )

@@ -2,42 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxlake.fixed_values import MAX_REQUESTS, MIN_GAP_SECONDS, WINDOW_SECONDS
+from boxlake.operators.numbering import block_of
 
+_EACH, _MOST = 16, 2_000  # slices for each shuffle partition, so that each gets about as many rows, and slices in all
+_ACCURACY = 100_000  # of the quantiles: cuts are off by a 100,000th of all moves at most
 
-_SLICES_PER_ERA = 5_000
 
+def _chain_slices(slices: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """What the slices before and after a slice say: the sum carried, the last hit, the next expiry.
 
-def _around(totals: DataFrame, keys: tuple[str, ...], at: str, prefix: str = "") -> DataFrame:
-    """Add what the totals before and after a row say: the sum carried, the last hit, the next expiry."""
-    chain = Window.partitionBy(*keys).orderBy(at)
+    A budget has a row for each slice at most, and there are a few slices for each task.
+    """
+    chain = Window.partitionBy(*by).orderBy("slice")
     past = chain.rowsBetween(Window.unboundedPreceding, -1)
     future = chain.rowsBetween(1, Window.unboundedFollowing)
-    return totals.select(
-        *keys, at,
-        F.coalesce(F.sum("net").over(past), F.lit(0)).alias(f"{prefix}carried"),
-        F.max("last_hit").over(past).alias(f"{prefix}carried_hit"),
-        F.min("first_expiry").over(future).alias(f"{prefix}coming_expiry"),
+    return slices.select(
+        *by, "slice",
+        F.coalesce(F.sum("net").over(past), F.lit(0)).alias("carried"),
+        F.max("last_hit").over(past).alias("carried_hit"),
+        F.min("first_expiry").over(future).alias("coming_expiry"),
     )
 
 
-def _chain_slices(slices: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """Chain slice totals in two steps, within eras and over eras, so that a log of any length stays
-    spread out even when all requests share one budget."""
-    dated = slices.withColumn("era", F.floor(F.col("slice") / _SLICES_PER_ERA))
-    eras = dated.groupBy(*by, "era").agg(
-        F.sum("net").alias("net"), F.max("last_hit").alias("last_hit"), F.min("first_expiry").alias("first_expiry")
-    )
-    within = _around(dated, (*by, "era"), "slice")
-    return within.join(_around(eras, by, "era", "era_"), [*by, "era"]).select(
-        *by, "slice",
-        (F.col("carried") + F.col("era_carried")).alias("carried"),
-        F.coalesce("carried_hit", "era_carried_hit").alias("carried_hit"),
-        F.coalesce("coming_expiry", "era_coming_expiry").alias("coming_expiry"),
-    )
+def equal_slices(moves: DataFrame, slices: int) -> Column:
+    """The slice of a move's ``t``: cuts at quantiles of all moves, so slices hold about as many each, however short the
+    time in which they fall. Slices rise with time, and moves of one instant share one."""
+    cuts = moves.agg(F.percentile_approx("t", [k / slices for k in range(1, slices)], _ACCURACY)).first()[0] if slices > 1 else None
+    return block_of(moves, ["t"], [(cut,) for cut in sorted(set(cuts or []))]).alias("slice")
 
 
 def window_occupancy(
@@ -47,7 +42,7 @@ def window_occupancy(
     window_seconds: float = WINDOW_SECONDS,
     capacity: int = MAX_REQUESTS,
     min_gap_seconds: float = MIN_GAP_SECONDS,
-    slice_seconds: float = 60,
+    slices: int | None = None,
 ) -> DataFrame:
     """One row per instant at which requests were made, with the budget's state just after them.
 
@@ -55,11 +50,12 @@ def window_occupancy(
     Without ``by`` all requests draw on one budget.
 
     Requests are counted per instant first. Each instant then adds its requests at ``t`` and takes
-    them off at ``t + window``, so occupancy is a running sum. That sum is kept within short time
-    slices, and only slice totals are chained, so neither a hot host nor the single shared budget
-    has to pass through one task.
+    them off at ``t + window``, so occupancy is a running sum. That sum is kept within time slices
+    of about equal depth, several for each task, and only slice totals are chained, so neither a hot
+    host, the single shared budget nor a rush within a minute has to pass through one task.
     """
-    window, gap, slice_us = (int(s * 1_000_000) for s in (window_seconds, min_gap_seconds, slice_seconds))
+    window, gap = (int(s * 1_000_000) for s in (window_seconds, min_gap_seconds))
+    tasks = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     instants = log.groupBy(*by, F.unix_micros(F.col(ts).cast("timestamp")).alias("_t")).agg(
         F.count("*").alias("requests")
     )
@@ -74,7 +70,8 @@ def window_occupancy(
                 ),
             )
         ),
-    ).withColumn("slice", F.floor(F.col("t") / slice_us))
+    )
+    moves = moves.withColumn("slice", equal_slices(moves, slices or min(_EACH * tasks, _MOST)))
     expiry = F.when(F.col("step") < 0, F.col("t"))
 
     inside = Window.partitionBy(*by, "slice").orderBy("t")
@@ -88,10 +85,10 @@ def window_occupancy(
         F.min(expiry).over(later).alias("expiry_after"),
     ).where("hit IS NOT NULL")
 
-    slices = moves.groupBy(*by, "slice").agg(
+    totals = moves.groupBy(*by, "slice").agg(
         F.sum("step").alias("net"), F.max("hit").alias("last_hit"), F.min(expiry).alias("first_expiry")
     )
-    joined = local.join(_chain_slices(slices, by), [*by, "slice"])
+    joined = local.join(_chain_slices(totals, by), [*by, "slice"])
     in_window = F.col("carried") + F.col("running")
     gap_us = F.when(F.col("step") > 1, F.lit(0)).otherwise(
         F.col("t") - F.coalesce("hit_before", "carried_hit")

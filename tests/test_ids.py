@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from boxlake.leagues import league
 from boxlake.operators.identity import append_ids_first_seen, append_ids_sorted, check_size, crew_members, unseen_keys
-from boxlake.operators.numbering import number_rows
+from boxlake.operators.numbering import block_of, key_bounds, number_rows
 from boxlake.operators.tally import keep_last, modal_value, top_values, union_all, value_counts, value_shares
 from boxlake.plans.box_scores import check_players
 from boxlake.plans.dimensions import official_map, player_map, reverse_team_map, team_map, team_map_from_file_names
@@ -17,15 +17,41 @@ def as_dict(ids):
     return {r.key: r.id for r in ids.collect()}
 
 
-def test_numbers_follow_the_order_without_gaps(frame):
-    words = random.Random(3).sample([f"w{i:05}" for i in range(20000)], 5000)
-    rows = number_rows(frame([(w,) for w in words], "w string").repartition(16), [F.col("w").desc()], "n").collect()
-    assert [r.w for r in sorted(rows, key=lambda r: r.n)] == sorted(words, reverse=True)
-    assert sorted(r.n for r in rows) == list(range(5000))
+@pytest.mark.parametrize("blocks", [1, 2, 3, 8, 30, 200])
+def test_numbers_follow_the_order_without_gaps(spark, frame, blocks):
+    words = [*random.Random(3).sample([f"w{i:05}" for i in range(20000)], 3000), None, ""]
+    rows = frame([(w, i % 7) for i, w in enumerate(words)], "w string, i int").repartition(16)
+    spark.conf.set("spark.sql.shuffle.partitions", str(blocks))
+    try:
+        by_word = {r.w: r.n for r in number_rows(rows, ["w"], "n").collect()}
+        by_two = {(r.i, r.w): r.n for r in number_rows(rows, ["i", "w"], "n").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    order = sorted(words, key=lambda w: (w is not None, w or ""))
+    assert by_word == {w: n for n, w in enumerate(order)}
+    assert by_two == {k: n for n, k in enumerate(sorted(((i % 7, w) for i, w in enumerate(words)), key=lambda k: (k[0], k[1] is not None, k[1] or "")))}
+
+
+def test_blocks_are_about_equal_and_follow_from_the_keys(spark, frame):
+    rows = frame([(f"{i * i:09}",) for i in range(4000)], "w string")
+    bounds = key_bounds(rows, ["w"], 8)
+    assert bounds == key_bounds(rows.repartition(5), ["w"], 8) and len(bounds) == 7
+    sizes = [r["count"] for r in rows.groupBy(block_of(rows, ["w"], bounds).alias("b")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 4000 / 8
+
+
+def test_planning_takes_only_a_sample(spark, frame):
+    rows, context = frame([(i,) for i in range(500)], "i long"), spark.sparkContext
+    context.setJobGroup("numbering", "planning")
+    numbered = number_rows(rows, ["i"], "n")
+    jobs = len(context.statusTracker().getJobIdsForGroup("numbering"))
+    context.setJobGroup("others", "")
+    assert jobs <= 2 and numbered.where("i <> n").count() == 0
+    assert "Checkpoint" not in numbered._jdf.queryExecution().toString()
 
 
 def test_numbering_nothing(frame):
-    assert number_rows(frame([], "w string"), [F.col("w")], "n").collect() == []
+    assert number_rows(frame([], "w string"), ["w"], "n").collect() == []
 
 
 def test_player_ids_never_move(frame):

@@ -4,8 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from boxlake.operators import occupancy
-from boxlake.operators.occupancy import window_occupancy
+from boxlake.operators.occupancy import equal_slices, window_occupancy
 from boxlake.plans.status import fold_artifacts, fold_pulls, freshness, pull_totals, status
 from boxlake.schemas import ARTIFACT_LOG, PULL_LOG
 
@@ -23,7 +22,7 @@ def audit(frame, log, **options):
 
 
 def test_a_request_one_window_old_has_expired(frame):
-    seen = audit(frame, [("a", at(s)) for s in (0, 3, 6, 10, 13)], window_seconds=10, capacity=3, slice_seconds=4)
+    seen = audit(frame, [("a", at(s)) for s in (0, 3, 6, 10, 13)], window_seconds=10, capacity=3, slices=4)
     assert [seen[None, s].in_window for s in (0, 3, 6, 10, 13)] == [1, 2, 3, 3, 3]
     assert [seen[None, s].gap_us for s in (0, 3, 6, 10, 13)] == [None, 3_000_000, 3_000_000, 4_000_000, 3_000_000]
     assert not any(r.over_capacity or r.too_close for r in seen.values())
@@ -44,12 +43,11 @@ def test_requests_of_one_instant_count_together(frame):
     assert (seen[None, 0].requests, seen[None, 0].in_window, seen[None, 0].gap_us, seen[None, 0].too_close) == (3, 3, 0, True)
 
 
-@pytest.mark.parametrize("slice_seconds, per_era", [(1, 5000), (1, 7), (7, 2), (1000, 5000)])
-def test_against_brute_force_with_a_hot_host(frame, monkeypatch, slice_seconds, per_era):
-    monkeypatch.setattr(occupancy, "_SLICES_PER_ERA", per_era)
+@pytest.mark.parametrize("slices", [1, 2, 30, None])
+def test_against_brute_force_with_a_hot_host(frame, slices):
     draw = random.Random(11)
     log = [("hot" if draw.random() < 0.5 else draw.choice("xyz"), at(draw.randint(0, 4000) / 10)) for _ in range(1500)]
-    seen = audit(frame, log, by=("host",), window_seconds=12, capacity=4, min_gap_seconds=2, slice_seconds=slice_seconds)
+    seen = audit(frame, log, by=("host",), window_seconds=12, capacity=4, min_gap_seconds=2, slices=slices)
     assert sum(r.requests for r in seen.values()) == len(log)
     for (host, second), row in seen.items():
         now = round(second * 10)
@@ -101,3 +99,17 @@ def test_totals(frame):
     log = frame([("a", 2025, 1, 2, 0), ("a", 2025, 3, None, 1), ("a", 2026, 0, 0, 5)], "league string, season int, new long, cached long, failed long")
     assert {tuple(r) for r in pull_totals(log).collect()} == {("a", 2025, 4, 2, 1), ("a", 2026, 0, 0, 5)}
     assert pull_totals(log, ()).first().failed == 6
+
+
+def test_a_rush_within_a_minute_is_spread_over_tasks(frame):
+    """All but two of the distinct instants fall in one minute; each of eight tasks gets at most twice the mean."""
+    draw = random.Random(4)
+    times = [0, 10**12, *(draw.randrange(60_000_000) + 5 * 10**11 for _ in range(8000))]
+    moves = frame([(t,) for t in times], "t long")
+    sliced = moves.withColumn("slice", equal_slices(moves, 128))
+    sizes = [r["count"] for r in sliced.groupBy("slice").count().collect()]
+    assert len(sizes) > 120 and max(sizes) < 2 * len(times) / 128
+    tasks = [r["count"] for r in sliced.repartition(8, "slice").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(tasks) < 2 * len(times) / 8
+    ends = [(r.low, r.high) for r in sliced.groupBy("slice").agg(F.min("t").alias("low"), F.max("t").alias("high")).orderBy("slice").collect()]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:], strict=False))
