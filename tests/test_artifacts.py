@@ -167,7 +167,7 @@ def test_schedule_csv_keeps_file_order(spark, tmp_path):
 def test_json_maps(spark, tmp_path):
     (tmp_path / "team_map.json").write_text('{"ATL": "Atlanta Hawks ", "BOS": "Boston \\"C\\""}')
     teams = dimensions.read_team_map(spark, str(tmp_path / "team_map.json"))
-    assert [tuple(r) for r in teams.orderBy("pos").collect()] == [("ATL", "Atlanta Hawks ", 0), ("BOS", 'Boston "C"', 1)]
+    assert [(r.code, r.name, r.pos.entry) for r in teams.orderBy("pos").collect()] == [("ATL", "Atlanta Hawks ", 0), ("BOS", 'Boston "C"', 1)]
     table = spark.createDataFrame([("b", 1), ("a", 0)], "key string, id long")
     dimensions.export_json_map(table, str(tmp_path / "out"))
     assert ids(dimensions.read_json_map(spark, str(tmp_path / "out"))) == {"a": 0, "b": 1}
@@ -186,6 +186,44 @@ def test_a_json_map_is_one_object_at_every_size(spark, tmp_path, size):
         assert [(r.key, r.id) for r in back] == list(given.items())
 
 
+def layouts(pairs):
+    """The same object on one line, indented, several entries a line, and with blanks everywhere."""
+    entries = [f"{json.dumps(k, ensure_ascii=False)}: {v}" for k, v in pairs]
+    yield "{" + ", ".join(entries) + "}"
+    yield "{\n" + ",\n".join(f"    {e}" for e in entries) + "\n}\n"
+    yield "{" + "".join(e + ("" if i == len(entries) - 1 else ",\n" if i % 3 == 2 else ", ") for i, e in enumerate(entries)) + "}"
+    yield " \t{ \r\n" + " ,\r\n\t".join(e.replace(": ", "  :\n ") for e in entries) + "\n\n} \n"
+
+
+@pytest.mark.parametrize("split_bytes", [64, 1000, 1 << 27])
+def test_a_map_of_any_layout_is_read_in_order_and_in_splits(spark, tmp_path, split_bytes):
+    """Keys hold commas, braces, quotes, backslashes and letters of several bytes; repeated keys keep their places."""
+    keys = [f'k{i}' + ["", ",", '","', "\\", '\\"', "{,}", "ü,é", '\\\\",', "漢"][i % 9] for i in range(300)]
+    pairs = [(keys[i * 7 % 300], i) for i in range(400)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for n, text in enumerate(layouts(pairs)):
+            (tmp_path / f"{n}.json").write_text(text)
+            table = dimensions.read_json_map(spark, str(tmp_path / f"{n}.json"))
+            assert [(r.key, r.id) for r in table.orderBy("pos").collect()] == pairs
+            last = table.groupBy("key").agg(F.max_by("id", "pos").alias("id"))
+            assert ids(last) == dict(pairs)
+            if split_bytes < 100:
+                assert spark.read.option("lineSep", ",").text(str(tmp_path / f"{n}.json")).rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_odd_maps(spark, tmp_path):
+    (tmp_path / "m").mkdir()
+    for name, text in {"a.json": "", "b.json": "{}", "c.json": " { } \n", "d.json": '{"a": 1}', "e.json": '{"a":2,"b":null}'}.items():
+        (tmp_path / "m" / name).write_text(text)
+    found = dimensions.read_json_map(spark, str(tmp_path / "m")).orderBy("pos").collect()
+    assert [(r.key, r.id) for r in found] == [("a", 1), ("a", 2), ("b", None)]
+
+
 @pytest.mark.parametrize("files_per_batch", [1, 2, 1000])
 def test_ids_do_not_depend_on_batches(spark, tmp_path, files_per_batch):
     folder, built = tmp_path / "raw", str(tmp_path / "built")
