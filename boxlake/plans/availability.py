@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxlake.operators.json_tree import availability_records, path_census
+from boxlake.operators.json_tree import availability_records, first_records, path_census
 
 
 class Availability(NamedTuple):
@@ -34,6 +34,6 @@ def diagnostics(games: DataFrame, records: DataFrame) -> DataFrame:
     ).withColumn("scheduled_games", games.select(F.count("*")).scalar())
 
 
-def example_records(records: DataFrame, k: int = 5) -> DataFrame:
-    """The first records by game and place in the document."""
-    return records.orderBy("game_date", "game_id", "source_json_path", "player_id", "player_name").limit(k)
+def example_records(docs: DataFrame, k: int = 5) -> DataFrame:
+    """The first records by game and place in the document; ``docs`` has (game_id, game_date, doc, text)."""
+    return first_records(docs, k)
