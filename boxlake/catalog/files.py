@@ -7,15 +7,29 @@ import uuid
 from pyspark.sql import functions as F
 
 from boxlake.catalog import ids  # noqa: F401  its SQL is used again here
+from boxlake.catalog.absences import archive
 from boxlake.catalog.games import MAIN, OTHER, _FILES, order_files
 from boxlake.catalog.pages import _BROKEN, box_score_pages
 from boxlake.catalog.registry import ORACLES, day, query, sql_code, sql_day, table, team_code
+from boxlake.catalog.trees import _RECORDS, summaries
+from boxlake.fixed_values import ABSENCE_COLUMNS, AVAILABILITY_COLUMNS
+from boxlake.operators.json_tree import availability_records
+from boxlake.plans.absences import absence_table
 from boxlake.plans.artifacts import build_artifacts
 from boxlake.plans.box_scores import game_rows
 from boxlake.plans.dimensions import team_map_from_file_names
 from boxlake.session import shared_dir
 from boxlake.sources.dimensions import export_json_map, read_json_map, read_version, write_version
-from boxlake.sources.facts import export_box_scores_csv, export_csv, read_box_scores_csv, read_schedule_csv
+from boxlake.sources.facts import (
+    export_absences_csv,
+    export_availability_csv,
+    export_box_scores_csv,
+    export_csv,
+    read_box_scores_csv,
+    read_csv_texts,
+    read_schedule_csv,
+)
+from boxlake.sources.json_docs import parse_docs
 from boxlake.sources.raw_pages import compact_raw_pages
 
 
@@ -146,3 +160,18 @@ def one_game_rows(spark, folder):
     )
     game = fact.agg(F.min_by(F.struct("team", "date"), "o_orderkey").alias("game")).first().game
     return game_rows(fact, game.team, game.date)
+
+
+@query(ORACLES["absence_report"].replace("game_date AS date", "CAST(game_date AS VARCHAR) AS date"))
+def absence_csv_round_trip(spark, folder):
+    """The exchange file of absences, its columns read back by name."""
+    path = _new_folder(spark, "absences")
+    export_absences_csv(absence_table(archive(spark, folder)), path)
+    return read_csv_texts(spark, path, ABSENCE_COLUMNS)
+
+
+@query(_RECORDS)
+def availability_csv_round_trip(spark, folder):
+    path = _new_folder(spark, "availability")
+    export_availability_csv(availability_records(parse_docs(summaries(spark, folder))), path)
+    return read_csv_texts(spark, path, AVAILABILITY_COLUMNS)

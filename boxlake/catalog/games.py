@@ -20,6 +20,7 @@ from boxlake.functions.text import extract
 from boxlake.leagues import league
 from boxlake.operators.game_chain import link_games, neighbours_on
 from boxlake.operators.reconcile import game_summary, gap_rows, gap_summary
+from boxlake.operators.tally import union_all
 from boxlake.plans.coverage import coverage, play_by_play_gaps
 from boxlake.plans.schedule import away_teams, games_by_home, prepare, records, resolve_home, scores
 from boxlake.plans.status import schedule_targets
@@ -251,6 +252,50 @@ def league_coverage(spark, folder):
     return coverage(files, files.distinct(), pbp_pages(spark, folder), MAIN)
 
 
+def _sql_season(day: str) -> str:
+    return f"CAST(substr({day}, 1, 4) AS INTEGER) + CASE WHEN substr({day}, 5, 2) >= '10' THEN 1 ELSE 0 END"
+
+
+@query(f"""
+WITH {_PBP},
+mine AS (SELECT * FROM files WHERE {_sql_season('game_day')} = 1995),
+mine_wanted AS (SELECT * FROM wanted WHERE {_sql_season('substr(file_name, 15, 8)')} = 1995),
+mine_held AS (SELECT * FROM held WHERE {_sql_season('substr(file_name, 15, 8)')} = 1995),
+pages AS (
+  SELECT (SELECT count(*) FROM mine_wanted) AS expected_games, count(*) AS cached_files, count(*) FILTER (valid) AS valid_files,
+         count(*) FILTER (NOT valid) AS invalid_files,
+         (SELECT count(*) FROM mine_wanted WHERE file_name NOT IN (SELECT file_name FROM mine_held)) AS missing_files FROM mine_held)
+SELECT 'nba' AS league, 1995 AS season, (SELECT count(DISTINCT file_name) FROM mine) AS games, (SELECT min(game_day) FROM mine) AS first_game,
+       (SELECT max(game_day) FROM mine) AS last_game, (SELECT count(DISTINCT game_day) FROM mine) AS distinct_game_dates,
+       (SELECT count(DISTINCT file_name) FROM files) AS cached_box_scores, * FROM pages
+UNION ALL
+SELECT 'nba', 1995, NULL, NULL, NULL, NULL, (SELECT count(DISTINCT file_name) FROM files), * FROM pages
+""")
+def season_coverage(spark, folder):
+    """One season of a league, with a fact and before there is one."""
+    files = order_files(spark, folder).select("file_name")
+    with_fact, without = (
+        coverage(fact, files.distinct(), pbp_pages(spark, folder), MAIN, season=1995, year_filter="season") for fact in (files, None)
+    )
+    return union_all(with_fact, without)
+
+
+@query("""
+WITH last AS (SELECT max(o_orderdate) AS day FROM orders),
+running AS (SELECT year(day) + CASE WHEN month(day) >= 10 THEN 1 ELSE 0 END AS spanning, year(day) AS single FROM last)
+SELECT 'nba' AS league, o_orderkey FROM orders, running WHERE year(o_orderdate) + CASE WHEN month(o_orderdate) >= 10 THEN 1 ELSE 0 END = spanning
+UNION ALL SELECT 'wnba', o_orderkey FROM orders, running WHERE year(o_orderdate) = single
+""")
+def season_in_progress(spark, folder):
+    """Orders of the season that runs on the day of the last order, as no season is asked for."""
+    orders = table(spark, folder, "orders")
+    today, games = str(orders.agg(F.max(F.to_date("o_orderdate"))).first()[0]), []
+    for lg in (MAIN, OTHER):
+        dated = orders.select("o_orderkey", season_label(F.col("o_orderdate"), lg.spans_years).alias("season"))
+        games.append(dated.join(F.broadcast(season_list(spark, None, lg, today)), "season", "left_semi").select(F.lit(lg.key).alias("league"), "o_orderkey"))
+    return games[0].union(games[1])
+
+
 @query(f"""
 WITH {_PBP}
 SELECT file_name, 'missing' AS problem FROM wanted WHERE file_name NOT IN (SELECT file_name FROM held)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from boxlake.catalog.games import MAIN, _FILES, order_files
 from boxlake.catalog.registry import dealt, query, sql_code, table, team_code
-from boxlake.operators.identity import append_ids_first_seen, append_ids_sorted, crew_members, unseen_keys
+from boxlake.operators.identity import append_ids_first_seen, append_ids_sorted, check_size, crew_members, unseen_keys
 from boxlake.operators.numbering import number_rows
 from boxlake.operators.tally import modal_value
 from boxlake.plans.dimensions import team_map, team_map_from_file_names
@@ -106,3 +106,22 @@ def new_keys(spark, folder):
 @query(f"SELECT file_name, row_number() OVER (ORDER BY file_name) - 1 AS place FROM (SELECT DISTINCT file_name FROM ({_FILES}))")
 def file_order(spark, folder):
     return number_rows(order_files(spark, folder).select("file_name").distinct(), ["file_name"], "place")
+
+
+@query("""
+SELECT 'customers' AS what, count(*) AS found, count(*) AS expected, true AS held FROM customer
+UNION ALL SELECT 'orders', count(*), count(*) + 1, false FROM orders
+UNION ALL SELECT 'nations', count(*), count(*) - 1, false FROM nation
+""")
+def size_tripwire(spark, folder):
+    """Maps against the number of ids they should hold; two of them have lost or won some."""
+    found = []
+    for what, name, off in (("customers", "customer", 0), ("orders", "orders", 1), ("nations", "nation", -1)):
+        dimension = table(spark, folder, name)
+        expected = dimension.count() + off
+        try:
+            size, held = check_size(dimension, expected, what), True
+        except ValueError as moved:
+            size, held = int(str(moved).split(" holds ")[1].split()[0]), False
+        found.append((what, size, expected, held))
+    return spark.createDataFrame(found, "what string, found long, expected long, held boolean")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from boxlake.catalog.games import MAIN, _FILES, order_files
@@ -11,6 +13,8 @@ from boxlake.operators.occupancy import window_occupancy
 from boxlake.operators.reconcile import refresh_list
 from boxlake.plans.backfill import expected_pages, pages_to_fetch, pull_counts
 from boxlake.plans.status import fold_artifacts, fold_pulls, freshness, pull_totals, schedule_targets
+from boxlake.session import shared_dir
+from boxlake.streaming.status import follow_pulls, pull_state
 
 
 def _window_sql(by: str, seconds: int, capacity: int, gap: int) -> str:
@@ -64,7 +68,7 @@ def pull_log(spark, folder):
     )
 
 
-@query(f"""
+_PULL_STATE = f"""
 SELECT user_id AS league, 'boxscores' AS dataset,
        max({_STAMP}) FILTER (event_type = 'click') AS last_started,
        max({_STAMP}) FILTER (event_type = 'view') AS last_finished,
@@ -73,11 +77,25 @@ SELECT user_id AS league, 'boxscores' AS dataset,
        arg_max(CAST(floor(value) AS BIGINT), event_id) FILTER (event_type = 'view') AS files_new,
        arg_max(CAST(floor(value * 10) AS BIGINT), event_id) FILTER (event_type = 'view') AS files_cached
 FROM events GROUP BY user_id
-""")
+"""
+
+
+@query(_PULL_STATE)
 def status_fold(spark, folder):
     return fold_pulls(pull_log(spark, folder))
 
 
+@query(_PULL_STATE)
+def status_stream(spark, folder):
+    """The same state from a stream whose files mix early and late rows, some rows twice; it is stopped and goes on."""
+    log, root = pull_log(spark, folder), f"{shared_dir(spark)}/status-{uuid.uuid4().hex}"
+    part = F.pmod(F.xxhash64("seq"), F.lit(6))
+    for chosen in (part < 2, part >= 2, part == 3):
+        log.where(chosen).repartition(4, "seq").write.mode("append").parquet(f"{root}/log")
+        follow_pulls(spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/log"), f"{root}/out")
+    return pull_state(spark, f"{root}/out")
+
+
 @query("""
 SELECT event_type AS league, user_id AS artifact, epoch_us(max(ts)) AS last_run_us, arg_max(value, event_id) AS duration_s
 FROM events GROUP BY ALL

@@ -14,6 +14,7 @@ from boxlake.leagues import League
 
 BOX_SCORE = "box_score"
 PLAY_BY_PLAY = "play_by_play"
+SCHEDULE = "schedule"
 _EIGHT_DIGITS = r"^[0-9]{8}$"
 _GAME = r"([0-9]{8})([0-9])([A-Z]{3})\.html$"
 
@@ -28,6 +29,8 @@ def link_pattern(league: League) -> str:
 
 def file_pattern(league: League, kind: str = BOX_SCORE) -> str:
     prefix = f"{league.prefix}_" if league.prefix else ""
+    if kind == SCHEDULE:
+        return rf"^{prefix}teams_[A-Z]{{3}}_[0-9]{{4}}_games\.html$"
     return f"^{prefix}boxscores_{'pbp_' if kind == PLAY_BY_PLAY else ''}{_GAME}"
 
 

@@ -75,6 +75,11 @@ def _read_csv(spark: SparkSession, path: str, kinds: dict[str, str], optional: t
     ])
 
 
+def read_csv_texts(spark: SparkSession, path: str, wanted: list[str]) -> DataFrame:
+    """Columns of an exchange file by name, as texts."""
+    return _read_csv(spark, path, dict.fromkeys(wanted, "string"))
+
+
 def read_box_scores_csv(spark: SparkSession, path: str, wanted: list[str] | None = None) -> DataFrame:
     """Exchange file back as all-text columns; only ``wanted`` columns are parsed. Old files lack some columns."""
     old = ("Player ID", "Team Code", "Period", "Officials")

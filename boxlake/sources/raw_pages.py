@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from boxlake.functions.links import BOX_SCORE, PLAY_BY_PLAY, file_glob, file_pattern, file_year
+from boxlake.functions.links import BOX_SCORE, PLAY_BY_PLAY, SCHEDULE, file_glob, file_pattern, file_year
 from boxlake.leagues import League
 from boxlake.schemas import RAW_PAGE, columns
+from boxlake.sources.manifest import read_manifest, write_manifest
 from boxlake.sources.named_files import live_folders
 
+OTHER_KIND = "other"
+
 
 def _name_of(path) -> F.Column:
     return F.element_at(F.split(path, "/"), -1)
@@ -84,3 +87,44 @@ def compact_raw_pages(
 def newest_file(pages: DataFrame) -> DataFrame:
     """Newest modification time per league; reads the file listing only."""
     return pages.groupBy("league").agg(F.max("modification_time").alias("newest_raw_file"))
+
+
+def page_kind(league: League, file_name: Column) -> Column:
+    """What a file of a league's folder is by its name; ``other`` if the name is none of the league's."""
+    kind = F.lit(OTHER_KIND)
+    for known in (SCHEDULE, PLAY_BY_PLAY, BOX_SCORE):
+        kind = F.when(file_name.rlike(file_pattern(league, known)), known).otherwise(kind)
+    return kind
+
+
+def folder_freshness(spark: SparkSession, folder: str, league: League, mark: str | None = None) -> DataFrame:
+    """(league, kind, files, newest) of all files of a league's folder, whatever they are; no file is opened.
+
+    With ``mark``, a folder for the last finding, only folders that the manifest has named since are listed: the rest is
+    known. Without a manifest all names are listed.
+    """
+    known = (read_manifest(spark, mark) if mark else None) or {"version": -1, "folders": [], "kinds": []}
+    live = live_folders(spark, folder)
+    plain = live == [folder]
+    gone = not set(known["folders"]) <= set(live)  # overwritten since: what was known of them holds no more
+    fresh = live if plain or gone else [f for f in live if f not in set(known["folders"])]
+    rows = [] if plain or gone else [tuple(r) for r in known["kinds"]]
+    if fresh:
+        try:
+            listed = spark.read.format("binaryFile").load(fresh).select(
+                page_kind(league, _name_of(F.col("path"))).alias("kind"), F.unix_micros("modificationTime").alias("newest")
+            )
+            rows += [tuple(r) for r in listed.groupBy("kind").agg(F.count("*"), F.max("newest")).collect()]  # a row a kind
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" not in str(missing.getCondition()):
+                raise
+    found = spark.createDataFrame(rows, "kind string, files long, newest long").groupBy("kind").agg(F.sum("files").alias("files"), F.max("newest").alias("newest"))
+    if mark and (fresh or gone):
+        kinds = [list(r) for r in found.collect()]
+        write_manifest(spark, mark, {"version": known["version"] + 1, "folders": live, "kinds": kinds})
+    return found.select(F.lit(league.key).alias("league"), "kind", "files", F.timestamp_micros("newest").alias("newest"))
+
+
+def newest_in_folder(freshness: DataFrame) -> DataFrame:
+    """Newest modification time per league over every kind of file."""
+    return freshness.groupBy("league").agg(F.max("newest").alias("newest_raw_file"))

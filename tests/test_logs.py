@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from boxlake.operators.occupancy import equal_slices, window_occupancy
 from boxlake.plans.status import fold_artifacts, fold_pulls, freshness, pull_totals, status
 from boxlake.schemas import ARTIFACT_LOG, PULL_LOG
+from boxlake.streaming.status import follow_pulls, pull_state
 
 START = datetime(2026, 1, 1)
 
@@ -113,3 +114,22 @@ def test_a_rush_within_a_minute_is_spread_over_tasks(frame):
     assert max(tasks) < 2 * len(times) / 8
     ends = [(r.low, r.high) for r in sliced.groupBy("slice").agg(F.min("t").alias("low"), F.max("t").alias("high")).orderBy("slice").collect()]
     assert all(a[1] < b[0] for a, b in zip(ends, ends[1:], strict=False))
+
+
+@pytest.mark.parametrize("seed, files", [(1, 1), (2, 3), (3, 50)])
+def test_a_running_state_equals_the_fold_for_any_order(spark, frame, tmp_path, seed, files):
+    """Rows come early, late and twice, in batches of any size, over two runs; ties in time go by seq."""
+    draw, rows = random.Random(seed), []
+    for seq in range(200):
+        event = draw.choice(["started", "finished", "failed"])
+        new, cached = (draw.randrange(9), draw.randrange(9)) if event == "finished" else (None, None)
+        rows.append((draw.choice(["nba", "wnba"]), draw.choice(["pbp", "schedules"]), at(draw.randrange(60)), seq, event, new, cached, f"e{seq}" if event == "failed" else None))
+    want = sorted(map(tuple, fold_pulls(frame(rows, PULL_LOG)).collect()))
+    arriving = rows + draw.sample(rows, 40)
+    draw.shuffle(arriving)
+    log, root = str(tmp_path / "log"), str(tmp_path / "out")
+    assert pull_state(spark, root).collect() == []
+    for part in (arriving[:70], arriving[70:]):
+        frame(part, PULL_LOG).repartition(4).write.mode("append").parquet(log)
+        follow_pulls(spark.readStream.schema(PULL_LOG).option("maxFilesPerTrigger", files).parquet(log), root)
+    assert sorted(map(tuple, pull_state(spark, root).collect())) == want
