@@ -102,6 +102,39 @@ def test_exact_top_k(spark, monkeypatch):
     assert exact_top_k.top_k(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_odd_vectors_of_the_exact_search(spark, monkeypatch):
+    """Several lengths, repeated and null ids, no vector but the query's own, and few blocks that may be broadcast."""
+    monkeypatch.setattr(exact_top_k, "CANDIDATES", 10)
+    chance = np.random.default_rng(8)
+    rows = [(i, chance.normal(size=3 + i % 2).tolist()) for i in range(80)] + [(None, [1.0, 2.0, 3.0]), (20, [5.0, 5.0, 5.0]), (7, [9.0, 0.0, 0.0]), (200, [1.0] * 9)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    known = [(i, np.floor(64 * np.array(v))) for i, v in rows if i is not None]
+    want = {}
+    for q, x in {(i, len(v)): (i, v) for i, v in known if i % 20 == 0 and i != 20}.values():
+        scores = sorted((-int(x @ v), i) for i, v in known if i != q and len(v) == len(x))
+        want[q] = [(i, -s) for s, i in scores[:20]]
+    for most in (1 << 20, 10):
+        got = {}
+        for r in exact_top_k.top_k(frame, F.col("vec_id") % 20 == 0, most_bytes=most).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert {q: v for q, v in got.items() if q != 20} == {q: v for q, v in want.items() if v}
+
+
+def test_pivots_rule_out_most_candidates_of_grouped_vectors():
+    """Evaluated pairs over all pairs, once a score is known that has to be reached; all found that a plain search finds."""
+    chance = np.random.default_rng(9)
+    centres = chance.normal(size=(40, 16)) * 6
+    x = np.floor(64 * (centres[chance.integers(40, size=3000)] + chance.normal(size=(3000, 16)) / 8))
+    ids, pivots = np.arange(3000), exact_top_k.pick_pivots(x[:2000], 24)
+    far = np.linalg.norm(x[:, None] - pivots[None], axis=2)
+    scores = x[:100] @ x.T
+    scores[np.arange(100), np.arange(100)] = -np.inf
+    floor = np.sort(scores, axis=1)[:, -20].astype(np.int64)
+    found, evaluated = exact_top_k.best_in_block(x[:100], ids[:100], far[:100], floor, x, ids, far, 20)
+    best = {(q, c) for q in range(100) for c in np.lexsort((ids, -scores[q]))[:20].tolist()}
+    assert {(q, c) for q, c, _ in found} == best and evaluated < 0.3 * 100 * 3000
+
+
 def test_neighbour_graph(spark):
     frame = spark.createDataFrame(vectors(), "vec_id long, embedding array<float>").withColumn("id", F.lit(1))
     got = {}
