@@ -13,6 +13,7 @@ from boxlake.catalog.pages import _BROKEN, box_score_pages
 from boxlake.catalog.registry import ORACLES, day, query, sql_code, sql_day, table, team_code
 from boxlake.catalog.trees import _RECORDS, summaries
 from boxlake.fixed_values import ABSENCE_COLUMNS, AVAILABILITY_COLUMNS
+from boxlake.functions.links import BOX_SCORE, PLAY_BY_PLAY
 from boxlake.operators.json_tree import availability_records
 from boxlake.plans.absences import absence_table
 from boxlake.plans.artifacts import build_artifacts
@@ -99,24 +100,25 @@ def legacy_fact_team_map(spark, folder):
 
 
 @query("""
-SELECT CASE o_orderstatus WHEN 'F' THEN 'wnba' ELSE 'nba' END AS league, CAST(year(o_orderdate) AS INTEGER) AS year,
-       count(*) AS pages, CAST(sum(length(o_orderpriority)) AS BIGINT) AS bytes
-FROM orders GROUP BY ALL
+SELECT CASE o_orderstatus WHEN 'F' THEN 'wnba' ELSE 'nba' END AS league, kind, CAST(year(o_orderdate) AS INTEGER) AS year,
+       count(*) AS pages, CAST(sum(length(o_orderpriority) + extra) AS BIGINT) AS bytes
+FROM orders, (VALUES ('box_score', 0), ('play_by_play', 3)) AS k(kind, extra) GROUP BY ALL
 """)
 def compacted_pages(spark, folder):
-    """Pages of two leagues compacted one after the other into one table, the second one twice."""
+    """Pages of two leagues and two kinds compacted one after the other into one table, those of one league twice."""
     path, orders = _new_folder(spark, "compacted"), table(spark, folder, "orders")
     for lg, prefix, mine in ((MAIN, "", "o_orderstatus <> 'F'"), (OTHER, "wnba_", "o_orderstatus = 'F'")):
-        code = team_code(F.col("o_custkey"))
-        pages = orders.where(mine).select(
-            F.lit(lg.key).alias("league"),
-            F.concat(F.lit(f"{prefix}boxscores_"), day("o_orderdate"), F.lit("0"), code, F.lit(".html")).alias("file_name"),
-            F.encode("o_orderpriority", "UTF-8").alias("content"), F.length("o_orderpriority").cast("long").alias("length"),
-        )
-        for _ in range(1 if lg is MAIN else 2):
-            compact_raw_pages(pages, path, lg)
+        for kind, infix, extra in ((BOX_SCORE, "", ""), (PLAY_BY_PLAY, "pbp_", "pbp")):
+            code, content = team_code(F.col("o_custkey")), F.concat("o_orderpriority", F.lit(extra))
+            pages = orders.where(mine).select(
+                F.lit(lg.key).alias("league"),
+                F.concat(F.lit(f"{prefix}boxscores_{infix}"), day("o_orderdate"), F.lit("0"), code, F.lit(".html")).alias("file_name"),
+                F.encode(content, "UTF-8").alias("content"), F.length(content).cast("long").alias("length"),
+            )
+            for _ in range(1 if lg is MAIN else 2):
+                compact_raw_pages(pages, path, lg, kind)
     kept = spark.read.parquet(path)
-    return kept.groupBy("league", F.col("year").cast("int").alias("year")).agg(
+    return kept.groupBy("league", "kind", F.col("year").cast("int").alias("year")).agg(
         F.count("*").alias("pages"), F.sum(F.octet_length("content")).cast("long").alias("bytes")
     )
 
