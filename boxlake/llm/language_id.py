@@ -32,7 +32,15 @@ WIDE = 64
 LONGEST = 40
 #: Superscripts, fractions, Roman numerals and the like: "word characters" to a pattern, but no letters. None lie higher.
 _NUMBER_SIGNS = "".join(c for c in map(chr, range(0x80, 0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_WORD = re.compile(rf"[^\W\d_{_NUMBER_SIGNS}]{{1,{LONGEST}}}")
+_WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
+_LETTERS_ONLY = re.compile(rf"[^\W\d_{_NUMBER_SIGNS}]{{1,{LONGEST}}}")
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters, lower-cased, in pieces of LONGEST at most."""
+    words = _WORD.findall(text.lower())
+    # the pattern without the signs takes many times as long, and few texts hold one
+    return words if "".join(words).isalpha() else _LETTERS_ONLY.findall(text.lower())
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -190,7 +198,7 @@ def _log_product(scores: np.ndarray, factors: np.ndarray) -> np.ndarray:
 def train(rows: list[tuple[str, str]], seed: int = 7) -> Field:
     """A field fitted to (text, language) rows by AdaGrad on the conditional likelihood of spliced sequences."""
     languages = sorted({language for _, language in rows})
-    words = [(_WORD.findall(text.lower()), languages.index(language)) for text, language in rows]
+    words = [(words_of(text), languages.index(language)) for text, language in rows]
     words = [(w, y) for w, y in words if w]
     languages = languages or [UNDETERMINED]
     k, chance = len(languages), np.random.default_rng(seed)
@@ -303,7 +311,7 @@ class _Scorer:
         """Language, its share, all shares and the mean of each word's largest probability, for every text."""
         if len(self.known) > self.most_words:
             self.forget()
-        split = [_WORD.findall(text.lower()) if text else [] for text in texts]
+        split = [words_of(text) if text else [] for text in texts]
         self.learn({w for words in split for w in words if w not in self.known})
         lengths = np.array([len(words) for words in split], np.int64)
         flat = np.fromiter((self.known[w] for words in split for w in words), np.int64, int(lengths.sum()))

@@ -197,7 +197,7 @@ def test_long_runs_of_letters_are_read_whole(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(docs, model).collect()}
     assert got[0][0] == "two" and got[1][0] == "one" and got[0][1] > 0.9 and 0.6 < got[1][1] < 0.95
-    assert "".join(language_id._WORD.findall(texts[0])) == texts[0]
+    assert "".join(language_id.words_of(texts[0])) == texts[0]
 
 
 def test_texts_in_several_languages_stay(spark):
@@ -255,7 +255,7 @@ def test_whole_texts_are_predicted_from_path_sums(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r for r in language_id.identify(docs, model).collect()}
     for i, text in enumerate(texts):
-        words = language_id._WORD.findall(text.lower())
+        words = language_id.words_of(text)
         if not words:
             continue
         e, total = model.emissions(words).astype(float), np.zeros((len(words), k))
