@@ -1,11 +1,11 @@
-"""Session settings and the one place where lineage is cut."""
+"""Session settings, and the folder that the cluster shares."""
 
 from __future__ import annotations
 
 import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -39,11 +39,3 @@ def shared_dir(spark: SparkSession) -> str:
     made = tempfile.mkdtemp(prefix="boxlake-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made
-
-
-def pin(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so that every later use sees the very same rows."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)

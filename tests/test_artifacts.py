@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from boxlake.leagues import league
 from boxlake.plans.artifacts import artifact_log, build_artifacts
 from boxlake.plans.dimensions import official_map, player_map, team_map
-from boxlake.session import build_session, pin, shared_dir
+from boxlake.session import build_session, shared_dir
 from boxlake.sources import dimensions, facts, raw_pages
 from boxlake.streaming.ingest import drain, ingested, ingested_errors, ingested_fact, latest_map, page_stream
 
@@ -279,9 +279,6 @@ def test_maps_of_an_empty_fact(spark):
     assert ids(player_map(empty, known)) == ids(official_map(empty, known)) == {"a": 4}
 
 
-def test_shared_folder_and_pinning(spark, tmp_path):
+def test_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert build_session() is not None
-    table = spark.range(100, numPartitions=1)
-    pinned = pin(table.withColumn("r", F.rand()))
-    assert pinned.collect() == pinned.collect()
