@@ -3,8 +3,9 @@
 Equal vectors are one node. A first graph comes from bounded blocks of nodes on the same sides of random hyperplanes.
 Then, round by round, the neighbours of a node, in both directions, are joined with their vectors and compared with each
 other: a neighbour of a neighbour is often a nearer neighbour. Pairs that were compared before are left out, and only the
-best proposals leave a task. Rounds end when hardly any neighbour changes. A query walks the graph greedily: all open nodes of its beam are joined with their neighbours,
-unseen ones with their vectors, and the beam keeps the nearest, until none is open.
+best proposals leave a task. Rounds end when hardly any neighbour changes. A query walks the graph greedily: all open nodes of its
+beam are joined with their neighbours, unseen ones with their vectors, and the beam keeps the nearest, until none is open.
+The whole beam is then measured in doubles.
 """
 
 from __future__ import annotations
@@ -33,8 +34,11 @@ _OFFERS_ARROW = pa.schema([("id", pa.int64()), ("near", pa.binary()), ("far", pa
 
 
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Squared Euclidean distances, good enough to build and walk a graph."""
-    return np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * (x @ y.T), 0).astype(np.float32)
+    """Euclidean distances, good enough to build and walk a graph: of centred vectors, so that those far from the origin keep
+    their digits."""
+    centre = y.mean(0)
+    x, y = x - centre, y - centre
+    return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * (x @ y.T), 0)).astype(np.float32)
 
 
 class _Offers:
@@ -286,7 +290,7 @@ def _nearest(rows: DataFrame, is_query: Column, k: int, neighbours: int, rounds:
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for query, ids in rows_of(batches):
-            for node in np.frombuffer(ids, np.int64)[: 2 * k + 2].tolist():
+            for node in np.frombuffer(ids, np.int64).tolist():
                 yield query, node
 
     pair = pa.schema([("query", pa.int64()), ("id", pa.int64())])

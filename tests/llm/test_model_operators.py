@@ -147,6 +147,50 @@ def test_neighbour_graph(spark):
     assert neighbour_graph.nearest(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_odd_vectors_of_the_graph(spark):
+    """Several lengths, repeated and null ids, vectors far from the origin, and components beyond the squares of single precision."""
+    chance = np.random.default_rng(10)
+    rows = [(i, (1e7 + chance.normal(size=4)).tolist()) for i in range(130)] + [(500 + i, (1e25 * chance.normal(size=3)).tolist()) for i in range(40)]
+    rows += [(None, [1.0, 2.0, 3.0, 4.0]), (7, [1e7, 1e7, 1e7, 1e7]), (900, [1.0] * 9)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"near": F.lit(1), "dim": F.lit("d")})
+    got = {}
+    for r in neighbour_graph.nearest(frame, F.col("vec_id") % 100 == 0, neighbours=12).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    for query in (0, 100, 500):
+        x = np.array(next(v for i, v in rows if i == query))
+        want = sorted((float(np.sqrt(((np.array(v) - x) ** 2).sum())), i) for i, v in rows if i not in (None, query) and len(v) == len(x))[:10]
+        assert len({i for _, i in want} & {i for i, _ in got[query]}) >= 9
+        scores = dict(got[query])
+        assert all(math.isclose(scores[i], s, rel_tol=1e-12) for s, i in want if i in scores)
+    assert 900 not in got
+
+
+def test_toxicity_of_odd_rows(spark):
+    rows = [(i, "you are a worthless idiot and I will hurt you" if i % 3 == 0 else "the river runs past the old mill", i % 3 == 0) for i in range(90)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(toxic)) for i, _, toxic in rows], "doc_id long, quality int, toxic int")
+    model = toxicity.learn(docs, labels)
+    odd = [(1, None), (2, ""), (3, "the river runs past the old mill " * 20000), (4, "you are a worthless idiot and I will hurt you. " * 5000), (5, rows[0][1]), (5, rows[0][1]), (None, rows[0][1])]
+    frame = spark.createDataFrame([(d, t, 0.5, [1], 1) for d, t in odd], "doc_id long, text string, score double, marks array<int>, toxic int")
+    got = toxicity.score_toxicity(frame, model).select("doc_id", "score").collect()
+    assert len(got) == len(odd) and all(0 <= r["score"] <= 1 for r in got)
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r["doc_id"], []).append(r["score"])
+    assert by_id[5][0] == by_id[5][1] == by_id[None][0] > by_id[1][0] == by_id[2][0]
+    assert by_id[4][0] > by_id[3][0]
+    assert toxicity.score_toxicity(frame.limit(0), model).count() == 0
+
+
+def test_mixing_of_long_texts_and_clashing_columns(spark):
+    rows = [(i, "word " * (200_000 if i == 3 else 5 + i), "en", f"src{i % 3}", 1, "d", 2, 3) for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, mix_epoch int, domain string, times int, tokens int")
+    mixed = mixing.mix(frame)
+    plain = mixing.mix(frame.select("doc_id", "text", "lang", "source"))
+    assert sorted(r["doc_id"] for r in mixed.collect()) == sorted(r["doc_id"] for r in plain.collect())
+    assert {"domain", "times", "tokens"} <= set(mixed.columns)
+
+
 def test_chains_side_by_side_agree_with_blocks(monkeypatch):
     chance = np.random.default_rng(6)
     for n in (1, 2, 50, 300):
