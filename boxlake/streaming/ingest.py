@@ -22,7 +22,7 @@ from boxlake.schemas import BOX_SCORE, FILE, columns, struct
 from boxlake.sources.dimensions import read_version, write_version
 from boxlake.sources.facts import season_of_file
 from boxlake.sources.manifest import read_manifest, write_manifest
-from boxlake.sources.named_files import watched_folder
+from boxlake.sources.named_files import drop_folders_but, watched_folder
 from boxlake.sources.raw_pages import as_raw_pages
 
 _MAPS = {"official_map": official_map, "player_map": player_map}
@@ -99,7 +99,7 @@ def compact(spark: SparkSession, root: str, bytes_per_file: int = 128 * 1024 * 1
     """Write the rows of all live folders anew, in as many files a league and season as their size asks for.
 
     Rows are dealt out by page, so a season that holds most rows is written by many tasks, and are in page order within
-    a file. Old folders stay for readers that still use them; nothing names them any more.
+    a file. Old folders stay for readers that still use them, until ``drop_old_rows``.
     """
     state = _state(spark, root)
     if len(state["folders"]) < 2:
@@ -120,6 +120,11 @@ def compact(spark: SparkSession, root: str, bytes_per_file: int = 128 * 1024 * 1
     _commit(spark, root, state, compacted=state["last_batch"], folders=[{"path": folder, "last_batch": state["last_batch"]}])
 
 
+def drop_old_rows(spark: SparkSession, root: str) -> int:
+    """Remove folders of rows that count no more, once nobody reads them; no drain or compaction may be at work."""
+    return drop_folders_but(f"{root}/rows", {f["path"] for f in _state(spark, root)["folders"]})
+
+
 def ingested(spark: SparkSession, root: str, after: int | None = None) -> DataFrame:
     """All rows taken in so far, or by batches after one; unreadable pages as rows with an ``error``.
 
