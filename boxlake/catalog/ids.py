@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from boxlake.catalog.games import MAIN, _FILES, order_files
 from boxlake.catalog.registry import dealt, query, sql_code, table, team_code
-from boxlake.operators.identity import append_ids_first_seen, append_ids_sorted, check_size, crew_members, unseen_keys
+from boxlake.operators.identity import SHARE, append_ids_first_seen, append_ids_sorted, check_size, crew_members, unseen_keys
 from boxlake.operators.numbering import number_rows
 from boxlake.operators.tally import modal_value
 from boxlake.plans.dimensions import team_map, team_map_from_file_names
@@ -88,12 +88,13 @@ FROM words WHERE key <> '' AND key NOT IN (SELECT key FROM known)
 """)
 def stable_ids_sorted(spark, folder):
     """Words of whole documents as crew members, after the words of part names."""
-    def words(name, column):
-        return crew_members(dealt(spark, folder, name, column), F.split(column, " "))
+    def words(name, column, share=1.0):
+        rows = dealt(spark, folder, name, column)
+        return crew_members(rows if share == 1.0 else rows.sample(share, seed=1), F.split(column, " "))
 
     empty = spark.createDataFrame([], "key string, id long")
     known = append_ids_sorted(empty, words("part", "p_name"), "member")
-    return append_ids_sorted(known, words("documents", "text"), "member")
+    return append_ids_sorted(known, words("documents", "text"), "member", words("documents", "text", SHARE))
 
 
 @query("SELECT doc_id AS key FROM documents EXCEPT SELECT doc_id FROM labels")

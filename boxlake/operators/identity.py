@@ -9,11 +9,14 @@ from boxlake.functions.text import strip
 from boxlake.operators.numbering import number_rows
 
 
-def append_ids(known: DataFrame, keys: DataFrame, order: list[str]) -> DataFrame:
+SHARE = 0.1  # of rows that bounds are sampled from
+
+
+def append_ids(known: DataFrame, keys: DataFrame, order: list[str], like: DataFrame | None = None) -> DataFrame:
     """``known(key, id)`` plus every unseen row of ``keys(key, *order)``, numbered on in ``order``."""
     unseen = keys.join(known.select("key"), "key", "left_anti")
     next_id = F.coalesce(known.agg(F.max("id")).scalar(), F.lit(-1)) + 1
-    added = number_rows(unseen, order, "_n")
+    added = number_rows(unseen, order, "_n", like)
     return known.select("key", "id").unionByName(
         added.select("key", (F.col("_n") + next_id).cast("long").alias("id"))
     )
@@ -21,19 +24,24 @@ def append_ids(known: DataFrame, keys: DataFrame, order: list[str]) -> DataFrame
 
 def append_ids_first_seen(known: DataFrame, rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """New keys in order of first appearance. The minimum is combined before the shuffle."""
-    firsts = (
-        rows.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("key"))
-        .agg(F.min(F.struct(*order)).alias("first"))
-        .select("key", *[F.col(f"first.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
-    )
-    return append_ids(known, firsts, [f"_o{i}" for i in range(len(order))])
+    def firsts(some: DataFrame) -> DataFrame:
+        return (
+            some.where(F.col(key).isNotNull())
+            .groupBy(F.col(key).alias("key"))
+            .agg(F.min(F.struct(*order)).alias("first"))
+            .select("key", *[F.col(f"first.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
+        )
+
+    return append_ids(known, firsts(rows), [f"_o{i}" for i in range(len(order))], firsts(rows.sample(SHARE, seed=1)))
+
+
+def append_ids_sorted(known: DataFrame, names: DataFrame, name: str, like: DataFrame | None = None) -> DataFrame:
+    """New names in code-point order. ``like`` holds names of a share of the sources, if that is cheaper to sample."""
 
+    def keys(some: DataFrame) -> DataFrame:
+        return some.select(F.col(name).alias("key")).where(F.col("key").isNotNull()).distinct()
 
-def append_ids_sorted(known: DataFrame, names: DataFrame, name: str) -> DataFrame:
-    """New names in code-point order."""
-    keys = names.select(F.col(name).alias("key")).where(F.col("key").isNotNull()).distinct()
-    return append_ids(known, keys, ["key"])
+    return append_ids(known, keys(names), ["key"], None if like is None else keys(like))
 
 
 def crew_members(rows: DataFrame, crew: Column) -> DataFrame:

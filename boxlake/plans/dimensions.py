@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from boxlake.functions.links import decode_file_name
 from boxlake.functions.text import strip
 from boxlake.leagues import League
-from boxlake.operators.identity import append_ids_first_seen, append_ids_sorted, crew_members
+from boxlake.operators.identity import SHARE, append_ids_first_seen, append_ids_sorted, crew_members
 from boxlake.operators.tally import modal_value
 
 PAGE_ORDER = ["file_name", "table_pos", "row_pos"]
@@ -45,7 +45,8 @@ def player_map(fact: DataFrame, known: DataFrame) -> DataFrame:
 
 def official_map(fact: DataFrame, known: DataFrame) -> DataFrame:
     """(key, id): known officials keep their ids, new ones follow in name order."""
-    return append_ids_sorted(known, crew_members(fact, F.col("officials")), "member")
+    some = fact.sample(SHARE, seed=1)
+    return append_ids_sorted(known, crew_members(fact, F.col("officials")), "member", crew_members(some, F.col("officials")))
 
 
 def reverse_team_map(teams: DataFrame, position: Column | None = None) -> DataFrame:

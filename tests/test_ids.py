@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from boxlake.leagues import league
 from boxlake.operators.identity import append_ids_first_seen, append_ids_sorted, check_size, crew_members, unseen_keys
+from boxlake.operators import numbering
 from boxlake.operators.numbering import block_of, key_bounds, number_rows
 from boxlake.operators.tally import keep_last, modal_value, top_values, union_all, value_counts, value_shares
 from boxlake.plans.box_scores import check_players
@@ -17,8 +18,9 @@ def as_dict(ids):
     return {r.key: r.id for r in ids.collect()}
 
 
-@pytest.mark.parametrize("blocks", [1, 2, 3, 8, 30, 200])
-def test_numbers_follow_the_order_without_gaps(spark, frame, blocks):
+@pytest.mark.parametrize("blocks, tree", [(1, 256), (2, 0), (3, 256), (8, 0), (30, 0), (30, 256), (101, 0)])
+def test_numbers_follow_the_order_without_gaps(spark, frame, monkeypatch, blocks, tree):
+    monkeypatch.setattr(numbering, "_TREE", tree)
     words = [*random.Random(3).sample([f"w{i:05}" for i in range(20000)], 3000), None, ""]
     rows = frame([(w, i % 7) for i, w in enumerate(words)], "w string, i int").repartition(16)
     spark.conf.set("spark.sql.shuffle.partitions", str(blocks))
