@@ -22,7 +22,7 @@ from boxlake.schemas import BOX_SCORE, FILE, columns, struct
 from boxlake.sources.dimensions import read_version, write_version
 from boxlake.sources.facts import season_of_file
 from boxlake.sources.manifest import read_manifest, write_manifest
-from boxlake.sources.named_files import drop_folders_but, watched_folder
+from boxlake.sources.named_files import as_binary_files, drop_folders_but, files_left, stream_files
 from boxlake.sources.raw_pages import as_raw_pages
 
 _MAPS = {"official_map": official_map, "player_map": player_map}
@@ -30,12 +30,17 @@ _INGESTED = BOX_SCORE + ", error string, batch long, season int"
 
 
 def page_stream(spark: SparkSession, folder: str, league: League, files_per_batch: int = 10_000) -> DataFrame:
-    """Raw pages of a folder as a stream; each file is seen once. Batches bound the work of one step, not the result."""
+    """Raw pages of a folder as a stream; each file is seen once. Batches bound the work of one step, not the result.
+
+    A folder that has a manifest is listed by tasks, and a batch counts its files of all kinds.
+    """
+    if read_manifest(spark, folder) is not None:
+        return as_raw_pages(as_binary_files(stream_files(spark, folder, files_per_batch), folder), league)
     files = (
         spark.readStream.format("binaryFile").schema(struct(FILE))
         .option("pathGlobFilter", file_glob(league))
         .option("maxFilesPerTrigger", files_per_batch)
-        .load(watched_folder(spark, folder))
+        .load(folder)
     )
     return as_raw_pages(files, league)
 
@@ -67,13 +72,11 @@ def drain(pages: DataFrame, root: str, layout: str = "id", partitions: int | Non
         others = [f for f in state["folders"] if f["last_batch"] != number]
         _commit(batch.sparkSession, root, state, last_batch=max(number, state["last_batch"]), folders=[*others, {"path": folder, "last_batch": number}])
 
-    (
-        pages.writeStream.foreachBatch(take_in)
-        .option("checkpointLocation", f"{root}/progress")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    more = True
+    while more:
+        run = pages.writeStream.foreachBatch(take_in).option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start()
+        run.awaitTermination()
+        more = run.lastProgress is not None and files_left(run.lastProgress.json)
     append_maps(spark, root)
 
 
