@@ -10,7 +10,7 @@ from boxlake.functions.links import BOX_SCORE, PLAY_BY_PLAY, SCHEDULE, file_glob
 from boxlake.leagues import League
 from boxlake.schemas import RAW_PAGE, columns
 from boxlake.sources.manifest import read_manifest, write_manifest
-from boxlake.sources.named_files import live_folders
+from boxlake.sources.named_files import as_binary_files, list_files, live_folders
 
 OTHER_KIND = "other"
 
@@ -25,16 +25,16 @@ def read_raw_pages(
     """Pages of one league and kind at the top level of a folder, or in the folders that its manifest names; none if it
     is missing.
 
-    The glob prunes the listing, by calendar years too if given, before any content is read; the
+    The listing is pruned, by calendar years too if given, before any content is read; the
     league's whole-name pattern then decides, so another league's page or a play-by-play page is
-    never taken for a box score. Content is read only if used.
+    never taken for a box score. Content is read only if used. With a manifest tasks do the listing.
     """
+    if read_manifest(spark, folder) is not None:
+        files = as_raw_pages(as_binary_files(list_files(spark, folder), folder), league, kind)
+        return files.where(file_year(league, F.col("file_name"), kind).isin(years)) if years else files
     reader = spark.read.format("binaryFile").option("pathGlobFilter", file_glob(league, kind, years))
-    folders = live_folders(spark, folder)
-    if not folders:
-        return spark.createDataFrame([], RAW_PAGE)
     try:
-        files = reader.load(folders)
+        files = reader.load(folder)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing.getCondition()):
             raise
@@ -111,9 +111,8 @@ def folder_freshness(spark: SparkSession, folder: str, league: League, mark: str
     rows = [] if plain or gone else [tuple(r) for r in known["kinds"]]
     if fresh:
         try:
-            listed = spark.read.format("binaryFile").load(fresh).select(
-                page_kind(league, _name_of(F.col("path"))).alias("kind"), F.unix_micros("modificationTime").alias("newest")
-            )
+            files = spark.read.format("binaryFile").load(folder).withColumn("file_name", _name_of(F.col("path"))) if plain else list_files(spark, folder, fresh)
+            listed = files.select(page_kind(league, F.col("file_name")).alias("kind"), F.unix_micros("modificationTime").alias("newest"))
             rows += [tuple(r) for r in listed.groupBy("kind").agg(F.count("*"), F.max("newest")).collect()]  # a row a kind
         except AnalysisException as missing:
             if "PATH_NOT_FOUND" not in str(missing.getCondition()):
