@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxlake.leagues import league
-from boxlake.operators.page_parser import read_page
+from boxlake.operators.page_parser import _Page, read_page
 from boxlake.operators.pages import (
     discover_box_scores,
     extract_box_scores,
@@ -167,3 +167,12 @@ def test_reader_on_odd_markup():
         }],
     }]
     assert page["links"] == ["x"] and read_page(b"\xff<h2>a</h2>")["headings"] == ["a"]
+
+
+def test_tables_and_rows_that_end_out_of_order():
+    """Cells belong to the innermost open row, whatever was closed with what; lookups do not walk the open elements."""
+    page = _Page()
+    assert set(page.within) == {"table", "tr", "th"} and page.inside("tr") is None
+    read = read_page("<table id=a><tr><th>x<table id=b><tr><td>1</tr><tr><td>2</table><td>3</th></table><td>4")
+    assert [(t["table_id"], [(r["heads"], r["cells"]) for r in t["rows"]]) for t in read["tables"]] == [
+        ("a", [(["x123"], ["3"])]), ("b", [([], ["1"]), ([], ["2"])])]
