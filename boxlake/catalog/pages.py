@@ -38,7 +38,7 @@ def link_rows(spark, folder):
 @query(_ALL_LINKS)
 def html_rows(spark, folder):
     """The same rows from the page parser."""
-    parsed = parse_pages(dealt(spark, folder, "pages", "page_id", "html"), ["page_id"], "html")
+    parsed = parse_pages(dealt(spark, folder, "pages", "page_id", "html"), ["page_id"], "html", ["links"])
     return parsed.select("page_id", F.posexplode("page.links").alias("link_pos", "link"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -36,15 +38,18 @@ _PLAYER_ROW = (
 )
 
 
-def parse_pages(pages: DataFrame, keep: list[str], content: str = "content") -> DataFrame:
-    """Add a ``page`` column. Pages are independent: one pass, no shuffle, small Arrow batches."""
+def parse_pages(pages: DataFrame, keep: list[str], content: str = "content", parts: list[str] | None = None) -> DataFrame:
+    """Add a ``page`` column, whole or with some of its ``parts``. Pages are independent: one pass, no shuffle, small Arrow batches."""
     given = pages.select(*keep, content)
-    schema = T.StructType([given.schema[c] for c in keep] + [T.StructField("page", struct(PAGE))])
+    page = T.StructType([field for field in struct(PAGE) if parts is None or field.name in parts])
+    schema = T.StructType([given.schema[c] for c in keep] + [T.StructField("page", page)])
     page_type = to_arrow_schema(schema).field("page").type
 
     def read(batches):
         for batch in batches:
+            gc.disable()  # records have no cycles: looking for some in a batch of them only takes time
             found = pa.array([read_page(text.as_py()) for text in batch.column(content)], type=page_type)
+            gc.enable()
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [found], [*keep, "page"])
 
     return given.mapInArrow(read, schema)
@@ -84,8 +89,12 @@ def _by_caption(table: Column) -> tuple[Column, Column, Column]:
     )
 
 
+def _labels(table: Column, layout: str) -> tuple[Column, Column, Column]:
+    return (_by_id if layout == "id" else _by_caption)(table)
+
+
 def _stats_table(table: Column, position: Column, layout: str) -> Column:
-    team, code, period = (_by_id if layout == "id" else _by_caption)(table)
+    team, code, period = _labels(table, layout)
     rows = table["rows"]
     heads = F.get(rows, F.lit(1))["heads"]
     players = F.transform(
@@ -140,13 +149,14 @@ def extract_box_scores(pages: DataFrame, layout: str = "id", mode: str = "strict
     """
     if mode not in ("strict", "quarantine"):
         raise ValueError(f"mode must be 'strict' or 'quarantine', not {mode!r}")
-    parsed = parse_pages(pages, ["league", "file_name"])
+    parsed = parse_pages(pages, ["league", "file_name"], parts=["tables", "officials"])
     stats = F.filter("page.tables", lambda t: F.array_contains(t["classes"], STATS_TABLE_CLASS))
-    found = F.transform(stats, lambda t, at: _stats_table(t, at, layout))
-    full_game = F.filter(found, lambda t: F.coalesce(t["period"] == "FG", F.lit(False)))
+    placed = F.transform(stats, lambda t, at: F.struct(t.alias("table"), at.alias("position")))
+    # tables of other periods go before their rows are looked at
+    full_game = F.filter(placed, lambda p: F.coalesce(_labels(p["table"], layout)[2] == "FG", F.lit(False)))
     tables = parsed.select(
         "league", "file_name", officials_crew(F.col("page.officials")).alias("officials"),
-        full_game.alias("tables"),
+        F.transform(full_game, lambda p: _stats_table(p["table"], p["position"], layout)).alias("tables"),
     )
     faults = F.filter(F.transform("tables", _table_fault), lambda fault: fault.isNotNull())
     checked = tables.withColumn(
@@ -173,7 +183,7 @@ def player_id(target: Column) -> Column:
 
 def headline_teams(pages: DataFrame) -> DataFrame:
     """Team names of older pages, taken from their second-level headings."""
-    parsed = parse_pages(pages, ["league", "file_name"])
+    parsed = parse_pages(pages, ["league", "file_name"], parts=["headings"])
     named = F.filter("page.headings", lambda h: h.contains(FULL_GAME_CAPTION))
     return parsed.select("league", "file_name", F.posexplode(named).alias("position", "heading")).select(
         "league", "file_name", "position",

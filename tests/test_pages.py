@@ -1,9 +1,11 @@
+import random
 from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
 
 from boxlake.leagues import league
+from boxlake.operators import page_parser
 from boxlake.operators.page_parser import _Page, read_page
 from boxlake.operators.pages import (
     discover_box_scores,
@@ -176,3 +178,22 @@ def test_tables_and_rows_that_end_out_of_order():
     read = read_page("<table id=a><tr><th>x<table id=b><tr><td>1</tr><tr><td>2</table><td>3</th></table><td>4")
     assert [(t["table_id"], [(r["heads"], r["cells"]) for r in t["rows"]]) for t in read["tables"]] == [
         ("a", [(["x123"], ["3"])]), ("b", [([], ["1"]), ([], ["2"])])]
+
+
+def test_bare_rows_are_one_token_and_read_as_tag_by_tag():
+    """A player's row is cut out whole; however tags are put together, the records are those of single tags."""
+    row = player("a01w", *map(str, range(20)))
+    assert len(page_parser._TOKENS.split(row * 3)) == 1 + 3 * 8
+    read = lambda parts: {k: v for k, v in vars(page_parser._read(parts)).items() if k in ("tables", "links", "headings", "officials")}
+    atoms = [
+        "<table>", "<table class='a b' id=\"x&amp;y\">", "</table>", "<tr>", "<tr x=1>", "</tr>", "<tr/>", "<td>", "</td>", "<td/>", "<td a='>'>", "<TD>",
+        "<th>", "</th>", "<a href=x>", "<a href='y&lt;'>", "<a>", "</a>", "<a/>", "<caption>", "</caption>", "<h2>", "</h2>", "<div>", "</div>", "<br>",
+        "</br>", "<strong>Officials:&nbsp;</strong>", "<script>", "</script>", "<style a='", "</style >", "<!--", "-->", '"', "'", " ", "t", "&amp;", ">", "<",
+        "<td>1</td>", "<td>&gt;</td><td></td>", "<th>h</th>", "<tr><td>2</td></tr>", "<tr><th><a href='p'>P&amp;</a></th><td>3</td></tr>", player("q", "1"),
+    ]
+    chance = random.Random(4)
+    for _ in range(5000):
+        text = "".join(chance.choices(atoms, k=chance.choice([3, 8, 20])))
+        assert read(page_parser._TOKENS.split(text)) == read(page_parser._one_by_one(text)), text
+    odd = "<div><script\"a \"b><td>1</td></script><td>2</td><h2>h</h2>"
+    assert page_parser._read(page_parser._TOKENS.split(odd)) is None and read_page(odd)["headings"] == ["h"]
