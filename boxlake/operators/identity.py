@@ -23,7 +23,7 @@ def append_ids(known: DataFrame, keys: DataFrame, order: list[str], like: DataFr
 
 
 def append_ids_first_seen(known: DataFrame, rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """New keys in order of first appearance. The minimum is combined before the shuffle."""
+    """New keys in order of first appearance, those that appear at one place by key. The minimum is combined before the shuffle."""
     def firsts(some: DataFrame) -> DataFrame:
         return (
             some.where(F.col(key).isNotNull())
@@ -32,7 +32,7 @@ def append_ids_first_seen(known: DataFrame, rows: DataFrame, key: str, order: li
             .select("key", *[F.col(f"first.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
         )
 
-    return append_ids(known, firsts(rows), [f"_o{i}" for i in range(len(order))], firsts(rows.sample(SHARE, seed=1)))
+    return append_ids(known, firsts(rows), [*(f"_o{i}" for i in range(len(order))), "key"], firsts(rows.sample(SHARE, seed=1)))
 
 
 def append_ids_sorted(known: DataFrame, names: DataFrame, name: str, like: DataFrame | None = None) -> DataFrame:
