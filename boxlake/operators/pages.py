@@ -48,8 +48,10 @@ def parse_pages(pages: DataFrame, keep: list[str], content: str = "content", par
     def read(batches):
         for batch in batches:
             gc.disable()  # records have no cycles: looking for some in a batch of them only takes time
-            found = pa.array([read_page(text.as_py()) for text in batch.column(content)], type=page_type)
-            gc.enable()
+            try:
+                found = pa.array([read_page(text.as_py()) for text in batch.column(content)], type=page_type)
+            finally:
+                gc.enable()
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [found], [*keep, "page"])
 
     return given.mapInArrow(read, schema)
